@@ -34,7 +34,7 @@ def clean_page_text(text: Column) -> Column:
     Chrome lines never count as 'the line before', so dropping them first gives the same
     result as one pass that skips them.
     """
-    lines = F.transform(F.split(F.replace(text, F.lit(" "), F.lit(" ")), r"\R"), strip)
+    lines = F.transform(F.split(F.replace(text, F.lit("\u00a0"), F.lit(" ")), r"\R"), strip)
     kept = F.filter(
         lines, lambda x: (x != "") & ~x.startswith("Share this page") & ~x.isin(*CHROME_LINES)
     )
