@@ -45,3 +45,8 @@ def contains_any(text: Column, needles: list[str] | tuple[str, ...]) -> Column:
 def words(text: Column) -> Column:
     """White-space separated words, none for blank text."""
     return F.filter(F.split(text, r"\s+"), lambda w: w != "")
+
+
+def item(array: Column, index: int) -> Column:
+    """Element by 1-based position, from the end if negative; null where there is none."""
+    return F.try_element_at(array, F.lit(index))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rostrum.functions.basic import let
+from rostrum.functions.basic import item, let
 
 RUN_START = "Starting sync run"
 RUN_FINISH = "Finished sync run"
@@ -91,10 +91,10 @@ def parse_line(line: Column) -> Column:
         return F.when(
             F.size(parts) >= 4,
             F.struct(
-                F.element_at(parts, 1).alias("ts_text"),
-                F.trim(F.element_at(parts, 2)).alias("level"),
-                F.trim(F.element_at(parts, 3)).alias("logger"),
-                F.trim(F.element_at(parts, 4)).alias("message"),
+                item(parts, 1).alias("ts_text"),
+                F.trim(item(parts, 2)).alias("level"),
+                F.trim(item(parts, 3)).alias("logger"),
+                F.trim(item(parts, 4)).alias("message"),
                 extra.alias("extra_text"),
             ),
         )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rostrum.functions.basic import contains_any, extract, let, non_empty, strip, words
+from rostrum.functions.basic import contains_any, extract, item, let, non_empty, strip, words
 
 # Phrases that mark a "name" as something else.
 NOISE_PHRASES = (
@@ -76,7 +76,7 @@ JOB_TITLES = ("Governor", "Deputy Governor", "Assistant Governor", "Senior Offic
 def header_field(text: Column, name: str) -> Column:
     """X11: value of the last `__NAME__:` line of a text, null if there is none."""
     found = F.regexp_extract_all(text, F.lit(rf"(?m)^__{name}__:(.*)$"), F.lit(1))
-    return let(found, lambda hits: F.when(F.size(hits) > 0, strip(F.element_at(hits, -1))))
+    return let(found, lambda hits: F.when(F.size(hits) > 0, strip(item(hits, -1))))
 
 
 def strip_headers(text: Column) -> Column:
@@ -91,8 +91,8 @@ def _short_name(text: Column) -> Column:
 
 def speaker_from_title(title: Column, bank: Column) -> Column:
     """The speaker named in a title, by the bank's way of writing it."""
-    after_speech = F.element_at(F.split(title, "Speech by"), -1)
-    after_interview = F.element_at(F.split(title, "Interview with"), -1)
+    after_speech = item(F.split(title, "Speech by"), -1)
+    after_interview = item(F.split(title, "Interview with"), -1)
     ecb = non_empty(
         F.when(title.contains("Speech by"), strip(F.substring_index(after_speech, ",", 1)))
         .when(title.contains("Interview with"), strip(F.substring_index(after_interview, ",", 1)))
@@ -141,7 +141,7 @@ def speaker_from_lines(text: Column, layout: str = "any", limit: int = 10) -> Co
             spoken = transcript & (F.size(lines) >= 3)
 
             def named(index: int, check_role: bool) -> Column:
-                line = F.try_element_at(lines, F.lit(index))
+                line = item(lines, index)
                 ok = F.size(words(line)).between(2, 4) & line.rlike(r"\A[A-Za-z\s.]+\z")
                 if check_role:
                     ok = ok & ~F.lower(line).isin(*ROLE_LINES)
@@ -187,7 +187,7 @@ def _is_upper(word: Column) -> Column:
 def given_name_first(name: Column) -> Column:
     """'SURNAME Given' -> 'Given Surname'; anything else stays."""
     def swap(parts: Column) -> Column:
-        surname = F.element_at(parts, 1)
+        surname = item(parts, 1)
         given = F.array_join(
             F.transform(F.slice(parts, 2, 1 << 20), lambda p: F.when(_is_upper(p), F.initcap(p)).otherwise(p)), " "
         )
@@ -211,7 +211,7 @@ def normalize_person(name: Column, bank: Column) -> Column:
         aliased = F.when((bank == alias_bank) & (bare == found), F.lit(proper)).otherwise(aliased)
 
     def two_words(parts: Column) -> Column:
-        first, second = F.element_at(parts, 1), F.element_at(parts, 2)
+        first, second = item(parts, 1), item(parts, 2)
         swapped = F.concat(second, F.lit(" "), F.initcap(first))
         return F.when((F.size(parts) == 2) & _is_upper(first) & ~_is_upper(second), swapped).otherwise(bare)
 

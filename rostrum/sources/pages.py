@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rostrum.functions import dates, people, text, urls
-from rostrum.functions.basic import extract, let, non_empty, strip
+from rostrum.functions.basic import extract, item, let, non_empty, strip
 
 ENTITIES = (
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"),
@@ -246,8 +246,8 @@ def page_links(pages: DataFrame, rule: SiteRule, year: int | None = None) -> Dat
     if rule.bank_code == "BOJ":
         cells = F.regexp_extract_all(card, F.lit(r"(?is)<td\b[^>]*>(.*?)</td\s*>"), F.lit(1))
         cards = cards.select("*", cells.alias("cells")).where(F.size("cells") >= 3)
-        scope, date_text = F.element_at("cells", 3), inner_text(F.element_at("cells", 1))
-        named = people.listed_speaker(inner_text(F.element_at("cells", 2)))
+        scope, date_text = item("cells", 3), inner_text(item("cells", 1))
+        named = people.listed_speaker(inner_text(item("cells", 2)))
     else:
         scope = extract(card, rule.link_within) if rule.link_within else card
         date_text = inner_text(extract(
