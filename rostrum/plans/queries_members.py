@@ -1 +1,285 @@
-"""Placeholder."""
+"""People and joins on people."""
+
+from pyspark.sql import functions as F
+
+from rostrum.operators import members, quality
+from rostrum.operators.common import as_time
+from rostrum.operators.queue import with_analysis, with_speaker
+from rostrum.plans.registry import query
+from rostrum.plans.views import AS_OF_D, AS_OF_O, NOW_D, NOW_O
+
+# --- plain joins ------------------------------------------------------------------------
+
+
+@query("SELECT s.id, a.stance_score, a.analysis_status FROM speeches_o s JOIN analysis_o a ON s.id = a.speech_id")
+def speech_analysis_inner(v):
+    return with_analysis(v.speeches_o.select("id"), v.analysis_o).where(F.col("analysis_status").isNotNull()).select(
+        "id", "stance_score", "analysis_status"
+    )
+
+
+@query("SELECT s.id, m.name AS speaker FROM speeches_d s LEFT JOIN members_d m ON s.speaker_id = m.id")
+def speech_member_left(v):
+    return with_speaker(v.speeches_d.select("id", "speaker_id"), v.members_d).select("id", "speaker")
+
+
+@query("SELECT s.id, a.analysis_status FROM speeches_d s LEFT JOIN analysis_d a ON s.id = a.speech_id")
+def speech_analysis_left(v):
+    return with_analysis(v.speeches_d.select("id"), v.analysis_d).select("id", "analysis_status")
+
+
+@query("""
+    SELECT id, speaker_id FROM speeches_d WHERE speaker_id IS NOT NULL AND speaker_id NOT IN (SELECT id FROM members_d)""")
+def orphan_speakers(v):
+    return members.orphan_speakers(v.speeches_d.select("id", "speaker_id"), v.members_d).select("id", "speaker_id")
+
+
+# --- membership -------------------------------------------------------------------------
+
+
+def _roster(v):
+    """An official list: two thirds of the members of every bank but one, and newcomers."""
+    old = v.members_d.where((F.col("id") % 3 != 0) & (F.col("bank_code") != "es")).select("bank_code", "name")
+    new = v.members_d.where((F.col("id") % 10 == 0) & (F.col("bank_code") != "es")).select(
+        "bank_code", F.concat("name", F.lit(" jr")).alias("name")
+    )
+    return old.unionByName(new).withColumn("role", F.lit("Governor"))
+
+
+@query("SELECT id, name FROM members_d WHERE status = 'active' AND bank_code <> 'es' AND id % 3 = 0")
+def not_in_roster(v):
+    return members.not_in_roster(v.members_d, _roster(v)).select("id", "name")
+
+
+@query("""
+    SELECT name, bank_code, CASE WHEN bank_code = 'es' THEN status WHEN id % 3 <> 0 THEN 'active' ELSE 'retired' END AS status,
+      CASE WHEN bank_code <> 'es' AND id % 3 = 0 AND status = 'active' THEN '2024-01-31' END AS term_end,
+      CASE WHEN bank_code <> 'es' AND id % 3 <> 0 THEN 'Governor' END AS role,
+      CASE WHEN bank_code <> 'es' AND id % 3 <> 0 THEN '2024-01-31' END AS last_verified_at FROM members_d
+    UNION ALL SELECT name || ' jr', bank_code, 'active', NULL, 'Governor', '2024-01-31' FROM members_d
+      WHERE id % 10 = 0 AND bank_code <> 'es'""")
+def apply_official_roster(v):
+    out = members.apply_roster(v.members_d, _roster(v), AS_OF_D, as_time(NOW_D))
+    return out.select("name", "bank_code", "status", "term_end", "role", "last_verified_at")
+
+
+@query("""
+    SELECT name, bank_code, role, n FROM (
+      SELECT name, bank_code, CASE WHEN id % 2 = 0 THEN 'Chair' END AS role, 1 AS n FROM members_d
+      UNION ALL SELECT DISTINCT 'New ' || (n_chars % 120), lang, CAST(NULL AS VARCHAR), 1 FROM documents WHERE n_chars % 10 <> 0)""")
+def get_or_create_members(v):
+    seen = v.speeches_d.where("speaker_id IS NOT NULL").select(
+        "bank_code", F.concat(F.lit("New "), F.col("speaker_id").cast("string")).alias("name"),
+        F.lit(None).cast("string").alias("role"),
+    )
+    known = v.members_d.select("bank_code", "name", F.when(F.col("id") % 2 == 0, F.lit("Chair")).alias("role"))
+    blank = v.members_d.select("bank_code", F.lit("").alias("name"), F.lit("Chair").alias("role"))
+    out = members.get_or_create_members(v.members_d, seen.unionByName(known).unionByName(blank), as_time(NOW_D))
+    return out.groupBy("name", "bank_code", "role").agg(F.countDistinct("id").alias("n"))
+
+
+ACTIVITY_SQL = """
+    SELECT id, bank_code, old_status, status, CASE WHEN status = 'retired' AND old_status = 'active' THEN coalesce(term_end, last_speech_date)
+      WHEN status = 'active' AND old_status = 'retired' THEN NULL ELSE term_end END AS term_end
+    FROM (SELECT id, bank_code, term_end, last_speech_date, status AS old_status,
+      CASE WHEN last_speech_date < DATE '2001-08-01' - 365 AND status = 'active' THEN 'retired'
+        WHEN last_speech_date >= DATE '2001-08-01' - 365 AND status = 'retired' THEN 'active' ELSE status END AS status FROM members_o)"""
+
+
+@query(f"SELECT id, status, CAST(term_end AS VARCHAR) AS term_end FROM ({ACTIVITY_SQL})")
+def activity_status(v):
+    return members.activity_status(v.members_o, AS_OF_O, now=as_time(NOW_O)).select("id", "status", "term_end")
+
+
+@query(f"""
+    SELECT CAST(count(*) FILTER (WHERE old_status = 'active' AND status = 'retired') AS BIGINT) AS retired,
+      CAST(count(*) FILTER (WHERE old_status = 'retired' AND status = 'active') AS BIGINT) AS reactivated FROM ({ACTIVITY_SQL})""")
+def activity_counts(v):
+    return members.activity_counts(v.members_o, members.activity_status(v.members_o, AS_OF_O))
+
+
+@query("SELECT bank_code, status, count(*) AS n FROM members_o GROUP BY 1, 2")
+def member_status_counts(v):
+    return members.member_status_counts(v.members_o)
+
+
+@query("""
+    SELECT speaker_id, CAST(min(date) AS VARCHAR) AS first_date, CAST(max(date) AS VARCHAR) AS last_date
+    FROM speeches_o GROUP BY 1""")
+def member_span(v):
+    return members.member_span(v.speeches_o)
+
+
+@query("""
+    SELECT speaker_id, arg_max(title, (date - DATE '1990-01-01') * 100000000 + id) AS title FROM speeches_d
+    WHERE speaker_id IS NOT NULL GROUP BY 1""")
+def latest_title_role(v):
+    return members.latest_title(v.speeches_d)
+
+
+@query("""
+    SELECT m.id, CAST(f AS VARCHAR) AS term_start, CAST(coalesce(l, last_speech_date) AS VARCHAR) AS last_speech_date,
+      CASE WHEN coalesce(role, '') <> '' THEN role WHEN t LIKE '1%' THEN 'Governor' WHEN t LIKE '2%' THEN 'Chair' ELSE role END AS role
+    FROM members_o m LEFT JOIN (SELECT speaker_id, min(date) AS f, max(date) AS l,
+      arg_max(title, (date - DATE '1990-01-01') * 100000000 + id) AS t FROM speeches_o GROUP BY 1) s ON m.id = s.speaker_id""")
+def fill_member_attrs(v):
+    titled = v.speeches_o.withColumn(
+        "title", F.when(F.col("title").startswith("1"), F.concat(F.lit("The Governor on "), "title"))
+        .when(F.col("title").startswith("2"), F.concat("title", F.lit(" by the Chair"))).otherwise(F.col("title")),
+    )
+    return members.fill_member_attrs(v.members_o, titled).select("id", "term_start", "last_speech_date", "role")
+
+
+STANCE_SQL = """
+    SELECT speaker_id, sum(stance_score * w) / sum(w) AS avg_stance_score FROM (
+      SELECT speaker_id, stance_score, CASE WHEN age <= 90 THEN 1.0 WHEN age <= 180 THEN 0.5 WHEN age <= 365 THEN 0.2 ELSE 0.05 END::DOUBLE AS w
+      FROM (SELECT speaker_id, stance_score, datediff('day', date, DATE '2001-08-01') AS age
+        FROM speeches_o JOIN analysis_o ON id = speech_id WHERE stance_score IS NOT NULL)) GROUP BY 1"""
+
+
+@query(f"SELECT speaker_id, round(avg_stance_score, 6) + 0.0 AS avg_stance_score FROM ({STANCE_SQL})")
+def weighted_stance(v):
+    out = members.weighted_stance(v.speeches_o, v.analysis_o, AS_OF_O)
+    return out.withColumn("avg_stance_score", F.round("avg_stance_score", 6) + F.lit(0.0))
+
+
+@query(f"""
+    SELECT id, round(avg_stance_score, 6) + 0.0 AS avg_stance_score,
+      CAST(avg_stance_score IS NULL AND synced_at IS NOT NULL AS BIGINT) AS synced
+    FROM members_o LEFT JOIN ({STANCE_SQL}) ON id = speaker_id""")
+def apply_member_stances(v):
+    out = members.apply_stances(v.members_o, members.weighted_stance(v.speeches_o, v.analysis_o, AS_OF_O))
+    return out.select(
+        "id", (F.round("avg_stance_score", 6) + F.lit(0.0)).alias("avg_stance_score"),
+        F.col("synced_at").isNotNull().alias("synced"),
+    )
+
+
+# --- merging ----------------------------------------------------------------------------
+
+
+def _cap(word: str) -> str:
+    return f"upper({word}[1]) || lower({word}[2:])"
+
+
+PERSON_SQL = f"""
+    SELECT id, bank_code, CASE WHEN kind IN (5, 6, 7) THEN NULL
+      WHEN bank_code = 'BOJ' AND kind = 3 THEN {_cap('w2')} || ' ' || {_cap('w1')}
+      WHEN kind = 4 AND bank_code <> 'BOE' THEN {_cap('w1')} || ' ' || {_cap('w2')} || ' (may 2020)'
+      ELSE {_cap('w1')} || ' ' || {_cap('w2')} END AS name FROM people_p"""
+MAP_SQL = f"SELECT id AS old_id, name, CASE WHEN name IS NOT NULL THEN min(id) OVER (PARTITION BY bank_code, name) END AS new_id FROM ({PERSON_SQL})"
+
+
+@query(MAP_SQL)
+def merge_map(v):
+    return members.merge_map(v.people_p).select("old_id", "new_id", "name")
+
+
+@query(f"SELECT name, bank_code, min(id) AS id FROM ({PERSON_SQL}) WHERE name IS NOT NULL GROUP BY 1, 2")
+def merge_members(v):
+    kept, _ = members.merge_members(v.people_p.select("id", "bank_code", "name"), _speeches_l(v))
+    return kept.select("name", "bank_code", "id")
+
+
+def _speeches_l(v):
+    return v.table("lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_partkey").alias("speaker_id")
+    )
+
+
+@query(f"""
+    SELECT new_id AS speaker_id, count(*) AS n FROM lineitem LEFT JOIN ({MAP_SQL}) ON l_partkey = old_id GROUP BY 1""")
+def remap_ids(v):
+    """Speeches per person after the merge; rows of noise names lose their speaker."""
+    _, moved = members.merge_members(v.people_p.select("id", "bank_code", "name"), _speeches_l(v))
+    return moved.groupBy("speaker_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+    SELECT DISTINCT l.bank_code, last_name, coalesce(first_value(m.name) OVER (PARTITION BY l.bank_code, last_name
+      ORDER BY CASE WHEN m.status = 'active' THEN 0 ELSE 1 END, m.last_speech_date DESC NULLS LAST, m.name), last_name) AS speaker
+    FROM (SELECT DISTINCT bank_code, split_part(name, ' ', 1) AS last_name FROM roster_d
+        UNION SELECT DISTINCT bank_code, split_part(name, ' ', 2) FROM roster_d UNION SELECT bank_code, 'Nobody' FROM roster_d) l
+    LEFT JOIN (SELECT bank_code, name, CASE WHEN position % 3 = 0 THEN 'active' ELSE 'retired' END AS status,
+        DATE '2020-01-01' + CAST(position % 500 AS INTEGER) AS last_speech_date FROM roster_d) m
+      ON m.bank_code = l.bank_code AND last_name <> '' AND
+        (lower(m.name) LIKE '% ' || lower(last_name) OR lower(m.name) LIKE lower(last_name) || '%')
+    WHERE last_name <> ''""")
+def lastname_lookup(v):
+    people = v.roster_d.select(
+        "bank_code", "name", F.when(F.col("position") % 3 == 0, "active").otherwise("retired").alias("status"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("position") % 500).cast("int")).alias("last_speech_date"),
+    )
+    asked = v.roster_d.select(
+        "bank_code",
+        F.explode(F.array(F.split_part("name", F.lit(" "), F.lit(1)), F.split_part("name", F.lit(" "), F.lit(2)), F.lit("Nobody")))
+        .alias("last_name"),
+    ).where("last_name <> ''").distinct()
+    return members.lastname_lookup(asked, people)
+
+
+NAME_SQL = """
+    SELECT s.id, arg_min(r.name, r.position) AS speaker FROM speeches_d s JOIN roster_d r ON s.bank_code = r.bank_code
+      AND contains(lower(s.title || ' ' || substring(s.full_text, 1, 1000)), lower(r.name))
+    GROUP BY 1"""
+
+
+@query(NAME_SQL)
+def name_in_text(v):
+    return members.name_in_text(v.speeches_d.where("full_text IS NOT NULL"), v.roster_d)
+
+
+@query(NAME_SQL)
+def name_in_text_large_roster(v):
+    """The way taken for a roster too large to attach to every row."""
+    return members.name_in_text(v.speeches_d.where("full_text IS NOT NULL"), v.roster_d, small_roster=0)
+
+
+@query(f"""
+    SELECT s.id, CASE WHEN s.speaker_id IS NOT NULL THEN 'kept' WHEN n.speaker IS NOT NULL THEN n.speaker ELSE NULL END AS speaker
+    FROM speeches_d s LEFT JOIN ({NAME_SQL}) n ON s.id = n.id WHERE s.speaker_id IS NULL""")
+def repair_speakers(v):
+    """Rows without a speaker, with the one found for them."""
+    blank = v.speeches_d.withColumn("full_text", F.translate("full_text", "\n", " "))
+    out, people = members.repair_speakers(blank, v.members_d.where(F.lit(False)), v.roster_d, as_time(NOW_D))
+    names = people.select(F.col("id").alias("speaker_id"), F.col("name").alias("speaker"))
+    missing = v.speeches_d.where("speaker_id IS NULL").select("id")
+    return out.join(missing, "id", "left_semi").join(names, "speaker_id", "left").select("id", "speaker")
+
+
+# --- quality ----------------------------------------------------------------------------
+
+
+@query("SELECT count(*) AS n FROM speeches_d WHERE speaker_id IS NOT NULL AND speaker_id NOT IN (SELECT id FROM members_d)")
+def check_orphans(v):
+    return quality.check_orphans(v.speeches_d, v.members_d)
+
+
+DUP_SQL = "SELECT count(*) AS n FROM (SELECT 1 FROM speeches_d GROUP BY bank_code, date, title, speaker_id HAVING count(*) > 1)"
+MOJI_SQL = "SELECT count(*) AS n FROM speeches_d WHERE coalesce(contains(full_text, 'tion'), FALSE) OR coalesce(contains(title, 'tion'), FALSE)"
+UNIQUE_SQL = "SELECT count(*) AS n FROM (SELECT 1 FROM people_p GROUP BY bank_code, name HAVING count(*) > 1)"
+
+
+@query(DUP_SQL)
+def check_duplicates(v):
+    return quality.check_duplicates(v.speeches_d)
+
+
+@query(MOJI_SQL)
+def check_mojibake(v):
+    return quality.check_mojibake(v.speeches_d, "tion")
+
+
+@query(UNIQUE_SQL)
+def check_member_unique(v):
+    return quality.check_member_unique(v.people_p)
+
+
+@query(f"""
+    SELECT 'orphan_speakers' AS "check", 'error' AS severity, n, CAST(n = 0 AS BIGINT) AS passed FROM (
+      SELECT count(*) AS n FROM speeches_d WHERE speaker_id IS NOT NULL AND speaker_id NOT IN (SELECT id FROM people_p))
+    UNION ALL SELECT 'duplicate_speeches', 'warning', n, CAST(n = 0 AS BIGINT) FROM ({DUP_SQL})
+    UNION ALL SELECT 'mojibake', 'error', n, CAST(n = 0 AS BIGINT) FROM ({MOJI_SQL})
+    UNION ALL SELECT 'duplicate_members', 'error', n, CAST(n = 0 AS BIGINT) FROM ({UNIQUE_SQL})""")
+def quality_report(v):
+    return quality.quality_report(v.speeches_d, v.people_p, "tion")

