@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -205,26 +207,32 @@ def listed_speaker(cell: Column) -> Column:
 
 def normalize_person(name: Column, bank: Column) -> Column:
     """One spelling per person: honorific off, aliases, bank habits, capitals."""
-    bare = F.regexp_replace(strip(name), r"(?i)\A(?:" + "|".join(HONORIFICS) + r")\s+", "")
-    aliased = bare
-    for alias_bank, found, proper in ALIASES:
-        aliased = F.when((bank == alias_bank) & (bare == found), F.lit(proper)).otherwise(aliased)
+    aliases = F.create_map(*[F.lit(x) for bank_code, found, proper in ALIASES for x in (f"{bank_code}:{found}", proper)])
+    honorific = r"(?i)\A(?:" + "|".join(HONORIFICS) + r")\s+"
 
     def two_words(parts: Column) -> Column:
         first, second = item(parts, 1), item(parts, 2)
-        swapped = F.concat(second, F.lit(" "), F.initcap(first))
-        return F.when((F.size(parts) == 2) & _is_upper(first) & ~_is_upper(second), swapped).otherwise(bare)
+        swap = (F.size(parts) == 2) & _is_upper(first) & ~_is_upper(second)
+        return F.when(swap, F.concat_ws(" ", second, first)).otherwise(F.array_join(parts, " "))
+
+    def without_notes(known: Column) -> Column:
+        bare = F.regexp_replace(known, r"(?U)\s*\(\w+\s+\d{4}\)", "")
+        bare = F.regexp_replace(bare, r"(?i)\s+slides\z", "")
+        return strip(F.regexp_replace(bare, r"\(.*\z", ""))
+
+    def known_as(bare: Column) -> Column:
+        aliased = F.coalesce(F.try_element_at(aliases, F.concat(bank, F.lit(":"), bare)), bare)
+        return (
+            F.when(bank == "BOJ", let(words(bare), two_words)).when(bank == "BOE", without_notes(aliased)).otherwise(aliased)
+        )
 
-    boe = F.regexp_replace(aliased, r"(?U)\s*\(\w+\s+\d{4}\)", "")
-    boe = F.regexp_replace(boe, r"(?i)\s+slides\z", "")
-    boe = strip(F.regexp_replace(boe, r"\(.*\z", ""))
-    chosen = F.when(bank == "BOJ", let(words(bare), two_words)).when(bank == "BOE", boe).otherwise(aliased)
-    return capitalize_words(chosen)
+    return capitalize_words(let(F.regexp_replace(strip(name), honorific, ""), known_as))
 
 
 def is_noise_name(name: Column) -> Column:
     """A 'name' that is a phrase of a title, or too short to be one."""
-    return contains_any(F.lower(name), NOISE_PHRASES) | (F.length(name) < 3)
+    phrases = "|".join(re.escape(p) for p in NOISE_PHRASES)
+    return F.coalesce(F.lower(name).rlike(phrases), F.lit(False)) | (F.length(name) < 3)
 
 
 def role_from_title(title: Column) -> Column:

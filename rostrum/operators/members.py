@@ -10,7 +10,7 @@ from rostrum.functions import people, scoring
 from rostrum.operators.common import as_date
 
 SEARCH_WINDOW = 1000
-GRAM = 4
+GRAM = 8
 SMALL_ROSTER = 2000
 
 
@@ -282,19 +282,18 @@ def _names_by_list(area: DataFrame, roster: DataFrame) -> DataFrame:
 
 
 def _names_by_gram(area: DataFrame, roster: DataFrame) -> DataFrame:
-    keyed = roster.select("bank_code", "position", "name", F.lower(F.substring("name", 1, GRAM)).alias("gram"))
+    # At most GRAM different key lengths exist; only those are cut from the texts.
+    key_length = F.least(F.length("name"), F.lit(GRAM))
+    sizes = sorted(r[0] for r in roster.where(F.length("name") > 0).select(key_length).distinct().collect())
+    keyed = roster.select("bank_code", "position", "name", F.lower(F.substring("name", F.lit(1), key_length)).alias("gram"))
 
     def grams(size: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length("area") - size + 1)
         return F.when(
-            F.length("area") >= size,
-            F.transform(
-                F.sequence(F.lit(1), F.length("area") - size + 1),
-                lambda i: F.substring(F.col("area"), i, F.lit(size)),
-            ),
+            F.length("area") >= size, F.transform(starts, lambda i: F.substring(F.col("area"), i, F.lit(size)))
         ).otherwise(F.array().cast("array<string>"))
 
-    # Only a name shorter than the gram needs the shorter grams.
-    every = F.flatten(F.array(*[grams(n) for n in range(1, GRAM + 1)]))
+    every = F.flatten(F.array(*[grams(n) for n in sizes])) if sizes else F.array().cast("array<string>")
     pieces = area.select("id", "bank_code", F.explode(F.array_distinct(every)).alias("gram"))
     hits = pieces.join(keyed, ["bank_code", "gram"]).select("id", "position", "name")
     return (

@@ -57,6 +57,10 @@ def document_lengths(speeches: DataFrame) -> DataFrame:
     return speeches.select("id", F.size(tokens(_document(F.col("title"), F.col("full_text")))).alias("words"))
 
 
+def _occurrences(words: Column, term: str) -> Column:
+    return F.size(F.filter(words, lambda w: w == term))
+
+
 def _idf(found_in: Column, documents: Column) -> Column:
     raw = F.log((documents - found_in + F.lit(0.5)) / (found_in + F.lit(0.5)))
     return F.when(raw > 0, raw).otherwise(F.lit(MIN_IDF))
@@ -79,7 +83,7 @@ def search(speeches: DataFrame, keyword: str, limit: int | None = None) -> DataF
     words = tokens(_document(F.col("title"), F.col("full_text")))
     counted = speeches.select("id", words.alias("_words")).select(
         "id", F.size("_words").alias("words"),
-        *[F.size(F.filter("_words", lambda w, t=t: w == t)).alias(f"tf{i}") for i, t in enumerate(terms)],
+        *[_occurrences(F.col("_words"), t).alias(f"tf{i}") for i, t in enumerate(terms)],
     )
     figures = counted.agg(
         F.count(F.lit(1)).alias("n"), F.avg("words").alias("mean"),

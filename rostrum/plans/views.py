@@ -348,7 +348,7 @@ SQL_VIEWS: dict[str, str] = {
           CASE WHEN doc_id % 2 = 0 THEN TIMESTAMP '2024-01-30 00:00:00' END AS synced_at
         FROM documents""",
     "analysis_d": """
-        SELECT doc_id AS speech_id, CASE WHEN quality = 1 AND doc_id % 5 <> 0 THEN 0.5 END AS stance_score,
+        SELECT doc_id AS speech_id, CASE WHEN quality = 1 AND doc_id % 5 <> 0 THEN CAST(0.5 AS DOUBLE) END AS stance_score,
           'because' AS stance_reason,
           CASE WHEN doc_id % 2 = 0 THEN '[]' ELSE '[{"category": "Inflation", "detail": "x"}]' END AS keywords,
           CAST(NULL AS VARCHAR) AS main_risk, doc_id % 7 AS analysis_attempts,
