@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rostrum import schemas
 from rostrum.functions import people, scoring
+from rostrum.functions.basic import let
 from rostrum.operators.common import as_date
 
 SEARCH_WINDOW = 1000
@@ -287,15 +288,21 @@ def _names_by_gram(area: DataFrame, roster: DataFrame) -> DataFrame:
     sizes = sorted(r[0] for r in roster.where(F.length("name") > 0).select(key_length).distinct().collect())
     keyed = roster.select("bank_code", "position", "name", F.lower(F.substring("name", F.lit(1), key_length)).alias("gram"))
 
-    def grams(size: int) -> Column:
-        starts = F.sequence(F.lit(1), F.length("area") - size + 1)
+    def cut(letters: Column, size: int) -> Column:
+        starts = F.sequence(F.lit(1), F.size(letters) - size + 1)
         return F.when(
-            F.length("area") >= size, F.transform(starts, lambda i: F.substring(F.col("area"), i, F.lit(size)))
+            F.size(letters) >= size, F.transform(starts, lambda i: F.array_join(F.slice(letters, i, size), ""))
         ).otherwise(F.array().cast("array<string>"))
 
-    every = F.flatten(F.array(*[grams(n) for n in sizes])) if sizes else F.array().cast("array<string>")
-    pieces = area.select("id", "bank_code", F.explode(F.array_distinct(every)).alias("gram"))
-    hits = pieces.join(keyed, ["bank_code", "gram"]).select("id", "position", "name")
+    def every(letters: Column) -> Column:
+        return F.array_distinct(F.flatten(F.array(*[cut(letters, n) for n in sizes])))
+
+    letters = F.regexp_extract_all("area", F.lit("(?s)."), F.lit(0))
+    grams = let(letters, every) if sizes else F.array().cast("array<string>")
+    pieces = area.select("id", "bank_code", F.explode(grams).alias("gram"))
+    # The size of the exploded side is underestimated by the optimizer, so it must not be
+    # broadcast; a merge join also lets AQE split hot grams.
+    hits = pieces.hint("merge").join(keyed, ["bank_code", "gram"]).select("id", "position", "name")
     return (
         hits.join(area.select("id", "area"), "id")
         .where(F.contains(F.col("area"), F.lower("name")))

@@ -116,5 +116,5 @@ def search_index(index: DataFrame, lengths: DataFrame, keyword: str, limit: int
 
 
 def _ranked(hits: DataFrame, limit: int | None) -> DataFrame:
-    ranked = hits.orderBy(F.round("score", 9).desc(), "id")
+    ranked = hits.orderBy(F.col("score").desc(), "id")
     return ranked if limit is None else ranked.limit(limit)

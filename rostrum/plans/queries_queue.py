@@ -180,7 +180,7 @@ def build_term_index(v):
     return search.build_term_index(v.speeches_d)
 
 
-def _bm25(terms):
+def _bm25(terms, score="round({0}, 6)"):
     tf = {t: f"len(list_filter(words, lambda w: w = '{t}'))" for t in terms}
     counted = ", ".join(f"{tf[t]} AS tf{i}" for i, t in enumerate(terms))
     parts = " + ".join(
@@ -192,7 +192,7 @@ def _bm25(terms):
     where = " AND ".join(f"tf{i} > 0" for i in range(len(terms)))
     return (
         f"WITH c AS (SELECT id, len(words) AS n, {counted} FROM ({TOKENS_SQL})) "
-        f"SELECT id, round({parts}, 6) AS score FROM c WHERE {where}"
+        f"SELECT id, {score.format(parts)} AS score FROM c WHERE {where}"
     )
 
 
@@ -207,6 +207,6 @@ def keyword_search_index(v):
     return search.search_index(index, lengths, "Une où")
 
 
-@query(f"SELECT id FROM ({_bm25(['the'])}) ORDER BY round(score, 9) DESC, id LIMIT 20")
+@query(f"SELECT id FROM ({_bm25(['the'], '{0}')}) ORDER BY score DESC, id LIMIT 20")
 def rank_matches(v):
     return search.search(v.speeches_d, "the", limit=20).select("id")

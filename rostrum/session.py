@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -47,3 +47,14 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="rostrum-")
         spark.conf.set(CHECKPOINT_KEY, root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write `df` to the shared folder and read it back.
+
+    Cuts the lineage of a long job, and keeps results that must not be computed twice
+    (calls to a scorer) across the loss of executors.
+    """
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

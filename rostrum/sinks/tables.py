@@ -15,10 +15,11 @@ def replace_table(df: DataFrame, root: str, version: int, partition_by: tuple[st
     """Publish a full rebuild as a new version below `root`.
 
     Readers keep the version they started with, a lost executor only repeats tasks, and a
-    job may read the version before the one it writes.
+    job may read the version before the one it writes. A retry overwrites its own version
+    and nothing else.
     """
     path = f"{root}/version={version}"
-    writer = df.write.mode("errorifexists")
+    writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return path
 
