@@ -7,6 +7,7 @@ from rostrum.plans import (  # noqa: F401  (importing registers the queries)
     queries_queue,
     queries_runlog,
     queries_sinks,
+    queries_streaming,
     queries_text,
 )
 from rostrum.plans.registry import oracle_sql, queries  # noqa: F401

@@ -399,6 +399,12 @@ def clamp_score(v):
     )
 
 
+@query("SELECT o_orderkey AS id, CASE WHEN o_totalprice > 100000 THEN 'scored' ELSE 'no_signal' END AS status FROM orders")
+def score_status(v):
+    score = F.when(F.col("o_totalprice") > 100000, F.lit(0.1))
+    return v.table("orders").select(F.col("o_orderkey").alias("id"), scoring.score_status(score).alias("status"))
+
+
 RESPONSES = (
     "CASE id % 6 WHEN 0 THEN concat('{\"stance_score\": ', stance_score * 3, ', \"stance_reason\": \"r\", \"keywords\": ', keywords, "
     "', \"main_risk\": \"m\"}') WHEN 1 THEN '{\"stance_score\": null, \"stance_reason\": \"none\", \"keywords\": [], \"main_risk\": null}' "
@@ -548,6 +554,16 @@ def content_type_filter(v):
     )
 
 
+@query("""
+    SELECT event_id, CASE event_type WHEN 'view' THEN 'Remarks' WHEN 'click' THEN 'Lectures' WHEN 'error' THEN 'Comments' ELSE 'speech' END
+      AS primary_type FROM events""")
+def primary_type(v):
+    kind = F.col("event_type")
+    label = F.when(kind == "view", "Remarks").when(kind == "click", "Lectures").when(kind == "error", "Comments").otherwise("Press")
+    labels = F.array(F.lit("Press"), label, F.when(kind == "view", F.lit("Lectures")).otherwise(F.lit("Webcasts")))
+    return v.table("events").select("event_id", pages.primary_type(labels).alias("primary_type"))
+
+
 @query("""
     SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'https://www.federalreserve.gov/newsevents/speech/a' || page_id || '.htm'
       WHEN 1 THEN 'dropped' WHEN 2 THEN 'dropped' WHEN 3 THEN 'dropped' ELSE 'dropped' END AS url FROM pages WHERE page_id % 5 = 0""")
