@@ -80,25 +80,31 @@ class Intake(NamedTuple):
     inserted: DataFrame
 
 
-def insert_new(candidates: DataFrame, speeches: DataFrame, members: DataFrame, fetched_at: Column) -> Intake:
-    """Add the candidates that are new by URL and by logical key.
+def select_new(candidates: DataFrame, speeches: DataFrame) -> DataFrame:
+    """D1, first half: the candidates that enter.
 
-    Within the batch the first candidate per normalized URL and then per logical key
-    enters. Running the same batch again adds nothing. Speakers are created as needed and
-    their last speech date moves forward. Ids are a hash of bank and normalized URL.
+    New by URL and by logical key; within the batch the first per normalized URL and then
+    per logical key. Header lines are applied, and the id hashes bank and normalized URL,
+    so running the same batch again selects nothing.
     """
     fresh = new_by_logical_key(new_by_url(candidates, speeches), speeches)
     fresh = fresh.withColumn("_url", urls.normalize_url(F.col("url"))).withColumn("_title", strip(F.col("title")))
     fresh = fresh.withColumn("id", F.xxhash64("bank_code", "_url", "position"))
     by_url = keep_first_by_id(fresh, ["bank_code", "_url"], "id", F.col("position"))
+    dated = by_url.where(F.col("date").isNotNull())
     unique = by_url.where(F.col("date").isNull()).unionByName(
-        keep_first_by_id(by_url.where(F.col("date").isNotNull()), ["bank_code", "_title", "date"], "id", F.col("position"))
+        keep_first_by_id(dated, ["bank_code", "_title", "date"], "id", F.col("position"))
     )
-    unique = apply_headers(unique).withColumn("id", F.xxhash64("bank_code", "_url"))
+    return apply_headers(unique).withColumn("id", F.xxhash64("bank_code", "_url")).drop("_url", "_title")
+
 
-    all_members = get_or_create_members(members, unique.select("bank_code", F.col("speaker").alias("name")), fetched_at)
+def enter_selected(selected: DataFrame, speeches: DataFrame, members: DataFrame, fetched_at: Column) -> Intake:
+    """D1, second half: speakers are created as needed, rows are added, and the last speech
+    date of the speakers moves forward."""
+    seen = selected.select("bank_code", F.col("speaker").alias("name"))
+    all_members = get_or_create_members(members, seen, fetched_at)
     lookup = all_members.select("bank_code", F.col("name").alias("speaker"), F.col("id").alias("speaker_id"))
-    inserted = unique.join(lookup, ["bank_code", "speaker"], "left").select(
+    inserted = selected.join(lookup, ["bank_code", "speaker"], "left").select(
         "id", "bank_code", "speaker_id", "title", "date", "url", "full_text", "speech_type",
         F.lit("en").alias("language"), fetched_at.alias("fetched_at"), fetched_at.alias("created_at"),
         F.lit(None).cast("timestamp_ntz").alias("synced_at"),
@@ -110,6 +116,12 @@ def insert_new(candidates: DataFrame, speeches: DataFrame, members: DataFrame, f
     )
 
 
+def insert_new(candidates: DataFrame, speeches: DataFrame, members: DataFrame, fetched_at: Column) -> Intake:
+    """D1 in one plan. A job that uses more than one of the results writes the selection in
+    between (see `plans.daily_run`), so that it is not computed once per result."""
+    return enter_selected(select_new(candidates, speeches), speeches, members, fetched_at)
+
+
 def bump_last_speech(members: DataFrame, speeches: DataFrame, now: Column) -> DataFrame:
     """A member's last speech date is the greatest of the old one and the new ones."""
     latest = (

@@ -26,7 +26,8 @@ class Run(NamedTuple):
 def collect(store: Store, candidates: DataFrame, fetched: DataFrame, as_of: str, now: str) -> tuple[Store, DataFrame]:
     """Refresh incomplete texts, take in new candidates, settle who is active."""
     refreshed = ingest.refresh_text(store.speeches, fetched, as_of)
-    intake = ingest.insert_new(candidates, refreshed, store.members, as_time(now))
+    selected = materialize(ingest.select_new(candidates, refreshed), "selected")
+    intake = ingest.enter_selected(selected, refreshed, store.members, as_time(now))
     people = members.activity_status(intake.members, as_of, now=as_time(now))
     return Store(intake.speeches, store.analysis, people), intake.inserted
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rostrum import schemas
 from rostrum.operators.common import as_time
-from rostrum.operators.ingest import insert_new
+from rostrum.operators.ingest import enter_selected, select_new
 from rostrum.session import materialize
 
 BATCHED = T.StructType([*schemas.SPEECHES.fields, T.StructField("batch", T.LongType())])
@@ -34,8 +34,8 @@ def ingest_stream(
         spark = batch.sparkSession
         known = _part(spark, speeches_root, BATCHED).where(F.col("batch") < batch_id).drop("batch")
         people = _part(spark, members_root, VERSIONED).where(F.col("version") == batch_id - 1).drop("version")
-        arrived = materialize(batch, "arrived")
-        result = insert_new(arrived, known, people, as_time(now))
+        selected = materialize(select_new(batch, known), "selected")
+        result = enter_selected(selected, known, people, as_time(now))
         schemas.conform(result.inserted, schemas.SPEECHES).write.mode("overwrite").parquet(
             f"{speeches_root}/batch={batch_id}"
         )
