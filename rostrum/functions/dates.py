@@ -17,7 +17,17 @@ MONTH_NAMES = (
 )  # fixed values
 MONTHS = "|".join(MONTH_NAMES)
 
-# Accepted formats by source style, first success wins.
+# Accepted formats by source style, first success wins, and the shape of
+# each. A failed parse costs an exception, so only text of the right shape is parsed.
+SHAPES = {
+    "yyyy-M-d": r"\A\d{4}-\d{1,2}-\d{1,2}\z",
+    "d/M/yyyy": r"\A\d{1,2}/\d{1,2}/\d{4}\z",
+    "d MMMM yyyy": r"\A\d{1,2} (?:[Mm][Aa][Yy]|[A-Za-z]{4,}) \d{4}\z",
+    "d MMM yyyy": r"\A\d{1,2} [A-Za-z]{3} \d{4}\z",
+    "yyyyMMdd": r"\A\d{8}\z",
+    "MMMM d, yyyy": r"\A(?:[Mm][Aa][Yy]|[A-Za-z]{4,}) \d{1,2}, \d{4}\z",
+    "MMM d, yyyy": r"\A[A-Za-z]{3} \d{1,2}, \d{4}\z",
+}
 DATE_FORMATS = {
     "dataset": ("yyyy-M-d", "d/M/yyyy", "d MMMM yyyy", "yyyyMMdd"),
     "card": ("MMMM d, yyyy", "MMM d, yyyy", "yyyy-M-d"),
@@ -30,8 +40,12 @@ def squeeze(text: Column) -> Column:
     return strip(F.regexp_replace(F.replace(text, F.lit("\u00a0"), F.lit(" ")), r"\s+", " "))
 
 
+def _parse(text: Column, fmt: str) -> Column:
+    return F.when(text.rlike(SHAPES[fmt]), F.try_to_date(text, fmt))
+
+
 def _first_format(text: Column, formats: tuple[str, ...]) -> Column:
-    return F.coalesce(*[F.try_to_date(text, fmt) for fmt in formats])
+    return F.coalesce(*[_parse(text, fmt) for fmt in formats])
 
 
 def parse_date(text: Column, style: str) -> Column:
@@ -40,15 +54,19 @@ def parse_date(text: Column, style: str) -> Column:
     `card` falls back to the first 'Month D, YYYY' inside the text, `table` looks only
     for that shape and ignores the dot of 'Mar.'.
     """
-    clean = squeeze(text)
     if style == "table":
-        found = F.replace(extract(clean, r"([A-Za-z]+\.?\s+\d{1,2},\s+\d{4})"), F.lit("."), F.lit(""))
-        return _first_format(found, DATE_FORMATS["table"])
-    direct = _first_format(clean, DATE_FORMATS[style])
-    if style != "card":
-        return direct
-    inner = extract(clean, r"([A-Za-z]+\s+\d{1,2},\s+\d{4})")
-    return F.coalesce(direct, F.try_to_date(inner, "MMMM d, yyyy"))
+        shape = r"([A-Za-z]+\.?\s+\d{1,2},\s+\d{4})"
+        found = F.replace(extract(squeeze(text), shape), F.lit("."), F.lit(""))
+        return let(found, lambda t: _first_format(t, DATE_FORMATS["table"]))
+
+    def read(clean: Column) -> Column:
+        direct = _first_format(clean, DATE_FORMATS[style])
+        if style != "card":
+            return direct
+        inner = extract(clean, r"([A-Za-z]+\s+\d{1,2},\s+\d{4})")
+        return F.coalesce(direct, _parse(inner, "MMMM d, yyyy"))
+
+    return let(squeeze(text), read)
 
 
 def parse_rfc822(text: Column) -> Column:
@@ -84,7 +102,7 @@ def date_from_url(href: Column, style: str, default_year: Column | None = None)
         text = F.concat(F.lit("1 "), month, F.lit(" "), year)
         year_only = F.try_to_date(F.concat(extract(href, r"/(\d{4})/"), F.lit("-01-01")), "yyyy-MM-dd")
         return F.coalesce(
-            F.try_to_date(text, "d MMMM yyyy"), F.try_to_date(text, "d MMM yyyy"), year_only, fallback
+            _parse(text, "d MMMM yyyy"), _parse(text, "d MMM yyyy"), year_only, fallback
         )
     if style == "year_month":
         text = F.concat(extract(href, r"/(\d{4})/\d{2}/"), F.lit("-"), extract(href, r"/\d{4}/(\d{2})/"))
@@ -107,9 +125,9 @@ def date_from_text(text: Column, window: int = 2000) -> Column:
         extract(head, r"\b([A-Z][a-z]+\.?\s+\d{1,2},\s+\d{4})\b"), F.lit("."), F.lit("")
     )
     return F.coalesce(
-        F.try_to_date(squeeze(day_first), "d MMMM yyyy"),
-        F.try_to_date(squeeze(month_first), "MMMM d, yyyy"),
-        F.try_to_date(squeeze(month_first), "MMM d, yyyy"),
+        _parse(squeeze(day_first), "d MMMM yyyy"),
+        _parse(squeeze(month_first), "MMMM d, yyyy"),
+        _parse(squeeze(month_first), "MMM d, yyyy"),
     )
 
 

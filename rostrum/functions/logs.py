@@ -50,8 +50,8 @@ def format_line(ts: Column, level: Column, logger: Column, message: Column, extr
     """`ts | level | logger | message | k=v, k=v`; `extra` is an array of (key, value)
     structs, so that the order written is the order given."""
     pairs = F.transform(extra, lambda e: F.concat(e["key"], F.lit("="), safe_value(e["value"])))
-    suffix = F.when(F.size(pairs) > 0, F.concat(F.lit(" | "), F.array_join(pairs, ", "))).otherwise("")
-    return F.concat(F.concat_ws(" | ", ts, level, logger, message), suffix)
+    written = F.array_join(pairs, ", ")
+    return F.concat_ws(" | ", ts, level, logger, message, let(written, lambda w: F.when(w != "", w)))
 
 
 def extra_pairs(**values: Column) -> Column:

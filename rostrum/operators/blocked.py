@@ -6,22 +6,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def running_count(df: DataFrame, source: str, block: str, seq: str, flag: Column, name: str) -> DataFrame:
+def running_count(
+    df: DataFrame, source: str, block: str, seq: str, flag: Column, name: str, total: str | None = None
+) -> DataFrame:
     """Rows of a source are cut into blocks of bounded size; `name` becomes the number of
-    flagged rows up to and including each row, in (block, seq) order.
+    flagged rows up to and including each row, in (block, seq) order, and `total` (if
+    given) the number in the whole source.
 
     Flags are counted per block, the blocks (far fewer than rows) are summed up in order,
     and the count inside a block starts from the sum before it. A source of any length is
     spread over as many tasks as it has blocks.
     """
-    flagged = df.withColumn("_flag", F.when(F.coalesce(flag, F.lit(False)), 1).otherwise(0).cast("long"))
-    per_block = flagged.groupBy(source, block).agg(F.sum("_flag").alias("_in_block"))
-    before = Window.partitionBy(source).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_block.select(source, block, F.coalesce(F.sum("_in_block").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy(source, block).orderBy(seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counted = flagged.withColumn("_count", F.sum("_flag").over(inside))
-    return (
-        counted.join(starts, [source, block])
-        .withColumn(name, F.col("_start") + F.col("_count"))
-        .drop("_flag", "_start", "_count")
+    one = F.when(F.coalesce(flag, F.lit(False)), 1).otherwise(0).cast("long")
+    per_block = df.groupBy(source, block).agg(F.sum(one).alias("_in_block"))
+    blocks = Window.partitionBy(source)
+    before = blocks.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_block.select(
+        source, block, F.coalesce(F.sum("_in_block").over(before), F.lit(0)).alias("_start"),
+        F.sum("_in_block").over(blocks).alias("_total"),
     )
+    inside = Window.partitionBy(source, block).orderBy(seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = df.withColumn("_count", F.sum(one).over(inside)).join(starts, [source, block])
+    extra = [F.col("_total").alias(total)] if total else []
+    return out.select(*df.columns, (F.col("_start") + F.col("_count")).alias(name), *extra)

@@ -28,19 +28,20 @@ def split_runs(lines: DataFrame) -> DataFrame:
     Lines before the first start and lines after a run's finish marker belong to no run
     and are dropped; a source without any start marker is one run (number 0).
     """
-    numbered = running_count(lines, "source", "block", "seq", F.col("message") == logs.RUN_START, "run_no")
-    ends = numbered.groupBy("source", "run_no").agg(
-        F.min(F.when(F.col("message") == logs.RUN_FINISH, _line())).alias("_end")
-    )
-    last = ends.groupBy("source").agg(F.max("run_no").alias("_last"))
-    bounds = ends.join(last, "source").where((F.col("run_no") > 0) | (F.col("_last") == 0)).select(
-        "source", "run_no", F.when(F.col("run_no") > 0, F.col("_end")).alias("_end"),
-        (F.col("run_no") == F.col("_last")).alias("is_latest"),
+    is_start = F.col("message") == logs.RUN_START
+    markers = lines.where(F.col("message").isin(logs.RUN_START, logs.RUN_FINISH)).select("source", *LINE, "message")
+    ends = (
+        running_count(markers, "source", "block", "seq", is_start, "run_no")
+        .where((F.col("message") == logs.RUN_FINISH) & (F.col("run_no") > 0))
+        .groupBy("source", "run_no").agg(F.min(_line()).alias("_end"))
     )
+    numbered = running_count(lines, "source", "block", "seq", is_start, "run_no", total="_runs")
+    in_run = (F.col("run_no") > 0) | (F.col("_runs") == 0)
     return (
-        numbered.join(bounds, ["source", "run_no"])
+        numbered.where(in_run).join(ends, ["source", "run_no"], "left")
         .where(F.col("_end").isNull() | (_line() <= F.col("_end")))
-        .drop("_end")
+        .withColumn("is_latest", F.col("run_no") == F.col("_runs"))
+        .drop("_end", "_runs")
     )
 
 

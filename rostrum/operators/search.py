@@ -8,6 +8,8 @@ import unicodedata
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rostrum.functions.basic import let
+
 K1, B = 1.2, 0.75
 MIN_IDF = 1e-6
 SEPARATORS = r"[^\p{L}\p{N}]+"
@@ -80,23 +82,27 @@ def search(speeches: DataFrame, keyword: str, limit: int | None = None) -> DataF
     terms = query_terms(keyword)
     if not terms:
         return speeches.where(F.lit(False)).select("id", F.lit(0.0).alias("score"))
-    words = tokens(_document(F.col("title"), F.col("full_text")))
-    counted = speeches.select("id", words.alias("_words")).select(
-        "id", F.size("_words").alias("words"),
-        *[_occurrences(F.col("_words"), t).alias(f"tf{i}") for i, t in enumerate(terms)],
-    )
+    def count(words: Column) -> Column:
+        per_term = [_occurrences(words, t).alias(f"tf{i}") for i, t in enumerate(terms)]
+        return F.array(F.struct(F.size(words).alias("words"), *per_term))
+
+    # `inline` keeps the filters below above the tokenizer: they would be evaluated by
+    # tokenizing again if they were pushed into the scan.
+    document = _document(F.col("title"), F.col("full_text"))
+    counted = speeches.select("id", F.inline(let(tokens(document), count)))
     figures = counted.agg(
-        F.count(F.lit(1)).alias("n"), F.avg("words").alias("mean"),
-        *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))],
-    )
+        F.struct(
+            F.count(F.lit(1)).alias("n"), F.avg("words").alias("mean"),
+            *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))],
+        ).alias("figures")
+    ).scalar()
     matching = counted
     for i in range(len(terms)):
         matching = matching.where(F.col(f"tf{i}") > 0)
-    n, mean = figures.select("n").scalar(), figures.select("mean").scalar()
     score = F.lit(0.0)
     for i in range(len(terms)):
-        idf = _idf(figures.select(f"df{i}").scalar(), n)
-        score = score + _term_score(idf, F.col(f"tf{i}"), F.col("words"), mean)
+        idf = _idf(figures[f"df{i}"], figures["n"])
+        score = score + _term_score(idf, F.col(f"tf{i}"), F.col("words"), figures["mean"])
     return _ranked(matching.select("id", score.alias("score")), limit)
 
 

@@ -7,6 +7,7 @@ from rostrum.operators.common import as_time
 from rostrum.plans.registry import query
 from rostrum.plans.queries_text import REPAIR_SQL
 from rostrum.plans.views import AS_OF_D, NOW_D
+from rostrum.session import materialize
 
 
 @query("""
@@ -87,7 +88,8 @@ INSERTED_SQL = f"""
 
 def _intake(v):
     no_members = v.members_d.where(F.lit(False))
-    return ingest.insert_new(v.candidates_p, v.known_p, no_members, as_time(NOW_D))
+    selected = materialize(ingest.select_new(v.candidates_p, v.known_p), "selected")
+    return ingest.enter_selected(selected, v.known_p, no_members, as_time(NOW_D))
 
 
 @query(f"""

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from rostrum.functions import logs
 from rostrum.operators import runlog
 from rostrum.plans.registry import query
+from rostrum.session import materialize
 from rostrum.sources.runlogs import parse_log
 
 STAMP = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
@@ -12,11 +13,13 @@ TS_TEXT = "strftime(ts, '%Y-%m-%d %H:%M:%S,%g')"
 
 
 def _lines(v):
-    return parse_log(v.log_lines_e)
+    """Parsed lines as a table at rest: logs are parsed once and then queried."""
+    return materialize(parse_log(v.log_lines_e), "log-lines")
 
 
 def _runs(v):
-    return runlog.split_runs(_lines(v))
+    """Lines with their run, at rest too: job analytics read them several times."""
+    return materialize(runlog.split_runs(_lines(v)), "log-runs")
 
 
 EXTRA_SQL = """CASE event_type WHEN 'signup' THEN 'run_id=R' || event_id || ', mode=recent'
@@ -60,7 +63,7 @@ def normalize_status(v):
 
 @query("SELECT event_id AS seq, source, run_no, CAST(run_no = last_run AS BIGINT) AS is_latest FROM log_runs_e")
 def split_runs(v):
-    return _runs(v).select("seq", "source", "run_no", "is_latest")
+    return runlog.split_runs(_lines(v)).select("seq", "source", "run_no", "is_latest")
 
 
 @query("SELECT event_id AS seq, source FROM log_runs_e WHERE run_no = last_run")

@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from rostrum.functions import logs
 from rostrum.plans import derive
+from rostrum.sources.tables import spread
 
 AS_OF_O = "2001-08-01"
 AS_OF_D = "2024-01-31"
 NOW_O = "2001-08-01 12:00:00"
 NOW_D = "2024-01-31 12:00:00"
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id"}
 JOB_KEYS = [job[0] for job in logs.JOBS]
 
 
@@ -26,9 +28,13 @@ class Views:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            self._tables[name] = spread(df, TEXT_TABLES[name]) if name in TEXT_TABLES else df
+        return self._tables[name]
 
     def _banked_customers(self) -> DataFrame:
         return self.table("customer").join(

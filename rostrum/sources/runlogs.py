@@ -30,13 +30,12 @@ def parse_log(lines: DataFrame) -> DataFrame:
     extra_text, extra and raw.
     """
     keep = [c for c in lines.columns if c != "value"]
-    parsed = lines.select(
-        *keep, F.trim("value").alias("raw"), logs.parse_line(F.col("value")).alias("line")
-    ).where(F.col("line").isNotNull())
-    return parsed.select(
-        *keep, "raw", "line.*",
-        dates.log_time(F.col("line.ts_text")).alias("ts"),
-        logs.parse_kv(F.col("line.extra_text")).alias("extra"),
+    # `inline` keeps the filter above the parser; pushed down, it would parse again.
+    parsed = lines.select(*keep, F.trim("value").alias("raw"), F.inline(F.array(logs.parse_line(F.col("value")))))
+    return parsed.where(F.col("ts_text").isNotNull()).select(
+        *parsed.columns,
+        dates.log_time(F.col("ts_text")).alias("ts"),
+        logs.parse_kv(F.col("extra_text")).alias("extra"),
     )
 
 

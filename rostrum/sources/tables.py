@@ -52,3 +52,13 @@ def year_slices(df: DataFrame, end_year: int, start_year: int | None = None) ->
         first = F.when(F.col("bank_code") == bank, F.lit(f"{year}-01-01")).otherwise(first)
     earliest = min([DEFAULT_FIRST_YEAR, *FIRST_YEAR.values()])
     return df.where(in_years(F.col("date"), earliest, end_year) & (F.col("date") >= first.cast("date")))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Work on long texts over every core, also where the input is one small file.
+
+    A table with at least as many splits as cores stays as it is, which is every table of
+    real size; the check looks at the plan, not at the data.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
