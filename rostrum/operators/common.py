@@ -21,10 +21,11 @@ def as_time(value: str | dt.datetime) -> Column:
 
 
 def first_per_key(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
-    """One row per key, the first by `order`, for narrow rows.
+    """One row per key, the first by `order`.
 
     An aggregate, not a ranking window: copies are reduced before the shuffle, so a key
-    holding a third of all rows costs one row per input partition. `order` must be total.
+    holding a third of all rows costs one row per input partition. Rows that tie in `order`
+    must be equal.
     """
     others = [c for c in df.columns if c not in keys]
     best = df.groupBy(*keys).agg(F.min_by(F.struct(*others), F.struct(*order)).alias("_row"))
@@ -32,8 +33,25 @@ def first_per_key(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
 
 
 def keep_first_by_id(df: DataFrame, keys: list[str], row_id: str, *order: Column) -> DataFrame:
-    """As `first_per_key` for wide rows: the choice is made on key, order and id only, and
-    the wide rows are then selected by a semi join on the unique id."""
+    """As `first_per_key` where rows have a unique id and many copies are wide: the choice is
+    made on key, order and id only, and the rows are then selected by a semi join."""
     narrow = df.select(*keys, F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]).alias("_order"), row_id)
     kept = narrow.groupBy(*keys).agg(F.min_by(row_id, "_order").alias(row_id))
     return df.join(kept.select(row_id), row_id, "left_semi").select(*df.columns)
+
+
+def settle_ids(rows: DataFrame, keys: list[str], taken: DataFrame | None = None) -> DataFrame:
+    """Hash ids made unique: `rows` has `id` and `_new` (true where the id is a new hash).
+
+    With some billions of rows two 64-bit hashes can be expected to meet once. Ids that
+    occur more than once, here or in `taken`, are found by a count on the id alone, and the
+    new ones among them are hashed again with a mark.
+    """
+    ids = rows.select("id") if taken is None else rows.select("id").unionByName(taken.select("id"))
+    clashes = ids.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(
+        "id", F.lit(True).alias("_clash")
+    )
+    again = F.col("_new") & F.col("_clash").isNotNull()
+    return rows.join(clashes, "id", "left").withColumn(
+        "id", F.when(again, F.xxhash64(*keys, F.lit("again"))).otherwise(F.col("id"))
+    ).select(*[c for c in rows.columns if c != "_new"])

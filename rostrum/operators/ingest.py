@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rostrum.functions import dates, people, text, urls
 from rostrum.functions.basic import non_empty, strip
-from rostrum.operators.common import as_date, first_per_key, keep_first_by_id
+from rostrum.operators.common import as_date, first_per_key, keep_first_by_id, settle_ids
 from rostrum.operators.members import get_or_create_members
 
 PLACEHOLDER = "to be published"
@@ -84,18 +84,19 @@ def select_new(candidates: DataFrame, speeches: DataFrame) -> DataFrame:
     """D1, first half: the candidates that enter.
 
     New by URL and by logical key; within the batch the first per normalized URL and then
-    per logical key. Header lines are applied, and the id hashes bank and normalized URL,
-    so running the same batch again selects nothing.
+    per logical key. Header lines are applied. Ids are a hash of bank and normalized URL.
+    Running the same batch again selects nothing.
     """
     fresh = new_by_logical_key(new_by_url(candidates, speeches), speeches)
     fresh = fresh.withColumn("_url", urls.normalize_url(F.col("url"))).withColumn("_title", strip(F.col("title")))
-    fresh = fresh.withColumn("id", F.xxhash64("bank_code", "_url", "position"))
-    by_url = keep_first_by_id(fresh, ["bank_code", "_url"], "id", F.col("position"))
+    order = [F.col("position"), F.col("url"), F.struct("title", "speaker", "full_text", "speech_type")]
+    by_url = first_per_key(fresh, ["bank_code", "_url"], *order)
     dated = by_url.where(F.col("date").isNotNull())
     unique = by_url.where(F.col("date").isNull()).unionByName(
-        keep_first_by_id(dated, ["bank_code", "_title", "date"], "id", F.col("position"))
+        first_per_key(dated, ["bank_code", "_title", "date"], *order)
     )
-    return apply_headers(unique).withColumn("id", F.xxhash64("bank_code", "_url")).drop("_url", "_title")
+    hashed = apply_headers(unique).withColumn("id", F.xxhash64("bank_code", "_url")).withColumn("_new", F.lit(True))
+    return settle_ids(hashed, ["bank_code", "_url"], speeches).drop("_url", "_title")
 
 
 def enter_selected(selected: DataFrame, speeches: DataFrame, members: DataFrame, fetched_at: Column) -> Intake:

@@ -197,8 +197,13 @@ def recompute_daily(
         F.col("stance_level_locf").alias("level"), F.col("last_scored_speech_date").alias("scored_on"),
         F.lit(True).alias("is_seed"),
     )
-    tail_events = events.join(start, "bank_code").where(F.col("date") >= F.col("start")).drop("start")
-    tail = _active_days(tail_events, as_of).withColumn("is_seed", F.lit(False))
+    # Events before the earliest start of all are not read; the rest is reduced to days
+    # before it meets the start of its bank.
+    earliest = start.agg(F.min("start").alias("s")).scalar()
+    tail = (
+        _active_days(events.where(F.col("date") >= earliest), as_of).join(start, "bank_code").where(F.col("date") >= F.col("start")).drop("start")
+        .withColumn("is_seed", F.lit(False))
+    )
     spans = _carry(seed.unionByName(tail), as_of)
     spans = spans.where(~(F.col("is_seed") & (F.col("day") == F.col("date"))))
     rebuilt = _finish_daily(spans, as_of, half_life_days, fresh_days, updated_at)

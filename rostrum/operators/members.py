@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rostrum import schemas
 from rostrum.functions import people, scoring
 from rostrum.functions.basic import let
-from rostrum.operators.common import as_date
+from rostrum.operators.common import as_date, settle_ids
 
 SEARCH_WINDOW = 1000
 GRAM = 8
@@ -31,7 +31,7 @@ def get_or_create_members(members: DataFrame, seen: DataFrame, now: Column) -> D
     joined = old.withColumn("_old", F.lit(True)).join(wanted, ["bank_code", "name"], "full_outer")
     is_new = F.col("_old").isNull()
     role_changed = F.col("_role").isNotNull() & ~F.col("_role").eqNullSafe(F.col("role"))
-    return joined.select(*[
+    hashed = joined.select(is_new.alias("_new"), *[
         {
             "id": F.coalesce("id", F.xxhash64("bank_code", "name")),
             "role": F.coalesce("_role", "role"),
@@ -40,6 +40,7 @@ def get_or_create_members(members: DataFrame, seen: DataFrame, now: Column) -> D
         }.get(c, F.col(c)).alias(c)
         for c in old.columns
     ])
+    return settle_ids(hashed, ["bank_code", "name"])
 
 
 def apply_roster(members: DataFrame, roster: DataFrame, as_of: str, now: Column) -> DataFrame:
@@ -65,7 +66,9 @@ def apply_roster(members: DataFrame, roster: DataFrame, as_of: str, now: Column)
     }
     for c in extra:
         values[c] = F.when(on_list, F.coalesce(f"_new_{c}", c)).otherwise(values.get(c, F.col(c)))
-    return joined.select(*[values.get(c, F.col(c)).alias(c) for c in old.columns])
+    is_new = F.col("id").isNull()
+    hashed = joined.select(is_new.alias("_new"), *[values.get(c, F.col(c)).alias(c) for c in old.columns])
+    return settle_ids(hashed, ["bank_code", "name"])
 
 
 def not_in_roster(members: DataFrame, roster: DataFrame) -> DataFrame:

@@ -111,10 +111,11 @@ def search_index(index: DataFrame, lengths: DataFrame, keyword: str, limit: int
     filter reaches the scan). Same ranking as `search`."""
     terms = query_terms(keyword)
     hits = index.where(F.col("term").isin(*terms))
+    # One row per word of the query: small by construction.
     found_in = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     figures = lengths.agg(F.count(F.lit(1)).alias("n"), F.avg("words").alias("mean"))
     idf = _idf(F.col("df"), figures.select("n").scalar())
-    scored = hits.join(found_in, "term").join(lengths, "id").select(
+    scored = hits.join(F.broadcast(found_in), "term").join(lengths, "id").select(
         "id", _term_score(idf, F.col("tf"), F.col("words"), figures.select("mean").scalar()).alias("part")
     )
     whole = scored.groupBy("id").agg(F.sum("part").alias("score"), F.count(F.lit(1)).alias("terms"))

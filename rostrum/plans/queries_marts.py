@@ -47,8 +47,8 @@ def events_mart(v):
       stance_reason, NULL, stance_score, stance_score, NULL, NULL, NULL, NULL, 1, '2001-08-01 12:00:00.000000'
     FROM events_o WHERE analysis_status = 'scored' AND stance_score IS NOT NULL""")
 def plot_mart(v):
-    daily = marts.daily_mart(v.events_o, AS_OF_O, updated_at=as_time(NOW_O))
-    return marts.plot_mart(daily, v.events_o)
+    daily = marts.daily_mart(v.events_at_rest, AS_OF_O, updated_at=as_time(NOW_O))
+    return marts.plot_mart(daily, v.events_at_rest)
 
 
 @query("""
@@ -58,8 +58,8 @@ def plot_mart(v):
     UNION ALL SELECT 'total', (SELECT count(*) FROM events_o) * 1 + 2 * (SELECT count(*) FROM daily_o)
       + count(*) FROM events_o WHERE analysis_status = 'scored' AND stance_score IS NOT NULL""")
 def mart_counts(v):
-    daily = marts.daily_mart(v.events_o, AS_OF_O)
-    return marts.mart_counts(marts.Marts(v.events_o, daily, marts.plot_mart(daily, v.events_o)))
+    daily = marts.daily_mart(v.events_at_rest, AS_OF_O)
+    return marts.mart_counts(marts.Marts(v.events_at_rest, daily, marts.plot_mart(daily, v.events_at_rest)))
 
 
 @query("""
@@ -143,14 +143,14 @@ def age_weight(v):
       SELECT 'line' AS mark_type, bank_code FROM daily_o UNION ALL SELECT 'speech_bar', bank_code FROM events_o
       WHERE analysis_status = 'scored' AND stance_score IS NOT NULL) GROUP BY 1, 2""")
 def union_marks(v):
-    plot = marts.plot_mart(marts.daily_mart(v.events_o, AS_OF_O), v.events_o)
+    plot = marts.plot_mart(marts.daily_mart(v.events_at_rest, AS_OF_O), v.events_at_rest)
     return plot.groupBy("mark_type", "bank_code").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT 'line:' || bank_code || ':' || CAST(date AS VARCHAR) AS row_id FROM daily_o UNION ALL "
        "SELECT 'bar:' || speech_id FROM events_o WHERE analysis_status = 'scored' AND stance_score IS NOT NULL")
 def row_id(v):
-    return marts.plot_mart(marts.daily_mart(v.events_o, AS_OF_O), v.events_o).select("row_id")
+    return marts.plot_mart(marts.daily_mart(v.events_at_rest, AS_OF_O), v.events_at_rest).select("row_id")
 
 
 @query("""
@@ -165,10 +165,10 @@ def rate_on_daily(v):
 def late_recompute(v):
     """The mart of an earlier day, brought up to date after late scores: equals a rebuild."""
     is_late = (F.col("speech_id") % 7 == 0) & (F.col("date") > "2001-03-01")
-    early = v.events_o.where(~is_late & (F.col("date") <= "2001-07-01"))
+    early = v.events_at_rest.where(~is_late & (F.col("date") <= "2001-07-01"))
     previous = marts.daily_mart(early, "2001-07-01", updated_at=as_time(NOW_O))
-    late = v.events_o.where(is_late | (F.col("date") > "2001-07-01")).select("bank_code", "date")
-    return marts.recompute_daily(previous, v.events_o, late, "2001-07-01", AS_OF_O, updated_at=as_time(NOW_O))
+    late = v.events_at_rest.where(is_late | (F.col("date") > "2001-07-01")).select("bank_code", "date")
+    return marts.recompute_daily(previous, v.events_at_rest, late, "2001-07-01", AS_OF_O, updated_at=as_time(NOW_O))
 
 
 @query("SELECT id, date_part('year', date)::BIGINT AS year FROM speeches_o WHERE date BETWEEN DATE '1997-01-01' AND DATE '1999-12-31'")

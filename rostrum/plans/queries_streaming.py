@@ -64,10 +64,10 @@ def late_recompute_stream(v):
 
     is_late = (F.col("speech_id") % 7 == 0) & (F.col("date") > "2001-03-01")
     root, source = work_folder(v.spark, "daily"), work_folder(v.spark, "late")
-    replace_table(marts.daily_mart(v.events_o.where(~is_late), AS_OF_O), root, 0)
-    late = v.events_o.where(is_late).select("bank_code", "date")
+    replace_table(marts.daily_mart(v.events_at_rest.where(~is_late), AS_OF_O), root, 0)
+    late = v.events_at_rest.where(is_late).select("bank_code", "date")
     late.coalesce(1).write.parquet(source)
     stream = v.spark.readStream.schema(late.schema).parquet(source)
-    late_stream(stream, lambda: v.events_o, root, work_folder(v.spark, "late-checkpoint"), AS_OF_O).awaitTermination()
+    late_stream(stream, lambda: v.events_at_rest, root, work_folder(v.spark, "late-checkpoint"), AS_OF_O).awaitTermination()
     return read_latest(v.spark, root).select("bank_code", "date", "stance_level_locf", "daily_total_speech_count")
 

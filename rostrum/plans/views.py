@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from rostrum.functions import logs
 from rostrum.plans import derive
+from rostrum.session import materialize
 from rostrum.sources.tables import spread
 
 AS_OF_O = "2001-08-01"
@@ -94,6 +95,11 @@ class Views:
 
         return events_mart(self.speeches_o, self.analysis_o, self.members_o, as_time(NOW_O))
 
+    @cached_property
+    def events_at_rest(self) -> DataFrame:
+        """The event rows as a written table, for jobs that read them more than once."""
+        return materialize(self.events_o, "events")
+
     @cached_property
     def rates_l(self) -> DataFrame:
         shipped = self.table("lineitem").groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("date")).agg(
