@@ -213,7 +213,7 @@ class Views:
     def log_fields_e(self) -> DataFrame:
         """Fields of one log line per event; about a third of the lines are in one file."""
         jobs = ", ".join(f"'{j}'" for j in JOB_KEYS)
-        return self.table("events").selectExpr(
+        return spread(self.table("events"), "event_id").selectExpr(
             "event_id", "ts", "event_type", "value", "cast(get_json_object(props, '$.k') AS int) AS k",
             "CASE WHEN user_id < 50 THEN 'app_0' ELSE concat('app_', user_id) END AS source",
             "event_id div 1000 AS block", "event_id AS seq",

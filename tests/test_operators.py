@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rostrum import schemas
 from rostrum.operators import ingest, members, queue, runlog, search, sync
 from rostrum.operators.blocked import running_count
-from rostrum.operators.common import as_time, keep_first_by_id
+from rostrum.operators.common import as_time, first_per_key, keep_first_by_id, settle_ids
 from rostrum.sinks import casts, tables, upsert
 
 NOW = "2024-01-31 12:00:00"
@@ -302,3 +302,24 @@ def test_versions(spark, frame, tmp_path):
     tables.replace_table(frame("id long", (2,)), root, 2)
     tables.replace_table(frame("id long", (3,)), root, 2)
     assert [r["id"] for r in tables.read_latest(spark, root).collect()] == [3]
+
+
+def test_clashing_ids_are_settled(frame):
+    rows = frame("bank_code string, name string, id long, _new boolean", ("A", "x", 1, True), ("A", "y", 1, True), ("A", "z", 2, True), ("A", "old", 3, False), ("A", "v", 3, True))
+    got = {r["name"]: r["id"] for r in settle_ids(rows, ["bank_code", "name"], frame("id long", (2,))).collect()}
+    assert len(set(got.values())) == 5 and got["old"] == 3 and 2 not in got.values()
+
+
+def test_first_per_key_keeps_every_column(frame):
+    rows = frame("k string, v long, extra array<string>", ("a", 2, ["x"]), ("a", 1, None), (None, 5, ["y"]), (None, 4, []))
+    got = {(r["k"], r["v"], None if r["extra"] is None else tuple(r["extra"])) for r in first_per_key(rows, ["k"], F.col("v")).collect()}
+    assert got == {("a", 1, None), (None, 4, ())}
+
+
+def test_hot_key_is_one_row_per_partition_after_the_map_side(spark):
+    hot = spark.range(0, 50_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 != 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("url"), F.col("id").alias("position"), F.lit("t").alias("title")
+    )
+    out = ingest.dedupe_first(hot)
+    assert out.where("url = 'hot'").first()["position"] == 1 and out.count() == 16_668
+    assert "partial_min_by" in out._jdf.queryExecution().executedPlan().toString()
