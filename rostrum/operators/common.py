@@ -55,3 +55,10 @@ def settle_ids(rows: DataFrame, keys: list[str], taken: DataFrame | None = None)
     return rows.join(clashes, "id", "left").withColumn(
         "id", F.when(again, F.xxhash64(*keys, F.lit("again"))).otherwise(F.col("id"))
     ).select(*[c for c in rows.columns if c != "_new"])
+
+
+def split_rows(df: DataFrame, condition: Column) -> tuple[DataFrame, DataFrame]:
+    """(rows that meet the condition, all others). An update that can only concern the
+    first part joins that part alone; the others pass through without a shuffle."""
+    meets = F.coalesce(condition, F.lit(False))
+    return df.where(meets), df.where(~meets)

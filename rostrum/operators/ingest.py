@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rostrum.functions import dates, people, text, urls
 from rostrum.functions.basic import non_empty, strip
-from rostrum.operators.common import as_date, first_per_key, keep_first_by_id, settle_ids
+from rostrum.operators.common import as_date, first_per_key, keep_first_by_id, settle_ids, split_rows
 from rostrum.operators.members import get_or_create_members
 
 PLACEHOLDER = "to be published"
@@ -166,22 +166,23 @@ def refresh_text(speeches: DataFrame, fetched: DataFrame, as_of: str, days: int
         people.strip_headers(F.col("full_text")).alias("_text"),
         F.try_to_date(people.header_field(F.col("full_text"), "DATE"), "yyyy-MM-dd").alias("_date"),
     ).where((F.length("_text") > 500) & ~F.lower("_text").contains(PLACEHOLDER))
-    joined = speeches.join(new, "url", "left")
-    hit = is_incomplete(as_of, days) & F.col("_text").isNotNull()
-    return _set(
-        joined, hit,
+    thin, rest = split_rows(speeches, is_incomplete(as_of, days))
+    refreshed = _set(
+        thin.join(new, "url", "left"), F.col("_text").isNotNull(),
         full_text=F.col("_text"), date=F.coalesce("_date", "date"), synced_at=F.lit(None).cast("timestamp_ntz"),
-    ).select(*speeches.columns)
+    )
+    return refreshed.select(*speeches.columns).unionByName(rest)
 
 
 def backfill_text(speeches: DataFrame, fetched: DataFrame, banks: tuple[str, ...]) -> DataFrame:
     """P14 applied: a fetched text is taken only if it is longer than 500 characters."""
     new = fetched.select("url", F.col("full_text").alias("_text")).where(F.length("_text") > 500)
-    joined = speeches.join(new, "url", "left")
-    hit = needs_backfill(banks) & F.col("_text").isNotNull()
-    return _set(joined, hit, full_text=F.col("_text"), synced_at=F.lit(None).cast("timestamp_ntz")).select(
-        *speeches.columns
+    thin, rest = split_rows(speeches, needs_backfill(banks))
+    filled = _set(
+        thin.join(new, "url", "left"), F.col("_text").isNotNull(),
+        full_text=F.col("_text"), synced_at=F.lit(None).cast("timestamp_ntz"),
     )
+    return filled.select(*speeches.columns).unionByName(rest)
 
 
 def detect_changes(speeches: DataFrame, members: DataFrame, listed: DataFrame) -> DataFrame:
@@ -238,11 +239,12 @@ def mark_unlisted(speeches: DataFrame, listed: DataFrame, bank: str, year: int)
     )
     current = listed.where(F.col("bank_code") == bank).select("url").distinct().withColumn("_listed", F.lit(True))
     any_listed = current.agg(F.count(F.lit(1)).alias("n")).scalar() > 0
-    joined = speeches.join(current, "url", "left")
-    hit = in_scope & F.col("_listed").isNull() & any_listed
-    return _set(
-        joined, hit, speech_type=F.lit("non_speech"), synced_at=F.lit(None).cast("timestamp_ntz")
-    ).select(*speeches.columns)
+    scoped, rest = split_rows(speeches, in_scope)
+    marked = _set(
+        scoped.join(current, "url", "left"), F.col("_listed").isNull() & any_listed,
+        speech_type=F.lit("non_speech"), synced_at=F.lit(None).cast("timestamp_ntz"),
+    )
+    return marked.select(*speeches.columns).unionByName(rest)
 
 
 def repair_dates(speeches: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rostrum import schemas
 from rostrum.functions import people, scoring
 from rostrum.functions.basic import let
-from rostrum.operators.common import as_date, settle_ids
+from rostrum.operators.common import as_date, settle_ids, split_rows
 
 SEARCH_WINDOW = 1000
 GRAM = 8
@@ -318,7 +318,7 @@ def repair_speakers(
 ) -> tuple[DataFrame, DataFrame]:
     """(speeches, members) with missing speakers filled from a listed name in the
     text, else from the opening lines; speakers are created as needed."""
-    open_rows = speeches.where(F.col("speaker_id").isNull() & F.col("full_text").isNotNull())
+    open_rows, rest = split_rows(speeches, F.col("speaker_id").isNull() & F.col("full_text").isNotNull())
     listed = name_in_text(open_rows, roster).withColumnRenamed("speaker", "_listed")
     from_lines = F.when(
         F.col("bank_code").isin(*byline_banks), people.speaker_from_lines(F.col("full_text"), "byline")
@@ -333,11 +333,11 @@ def repair_speakers(
     ids = all_members.select("bank_code", F.col("name").alias("_name"), F.col("id").alias("_speaker_id"))
     fills = found.join(ids, ["bank_code", "_name"]).select("id", "_speaker_id")
     hit = F.col("_speaker_id").isNotNull()
-    out = speeches.join(fills, "id", "left").select(*[
+    out = open_rows.join(fills, "id", "left").select(*[
         {
-            "speaker_id": F.coalesce("speaker_id", "_speaker_id"),
+            "speaker_id": F.col("_speaker_id"),
             "synced_at": F.when(~hit, F.col("synced_at")),
         }.get(c, F.col(c)).alias(c)
         for c in speeches.columns
     ])
-    return out, all_members
+    return out.unionByName(rest), all_members

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rostrum import schemas
 from rostrum.functions import scoring, text
 from rostrum.functions.basic import non_empty
+from rostrum.operators.common import split_rows
 from rostrum.operators.marts import ANALYZED
 
 MAX_ATTEMPTS = 3
@@ -38,17 +39,30 @@ def _is_open() -> Column:
 def pending_queue(speeches: DataFrame, analysis: DataFrame, members: DataFrame, limit: int | None = None) -> DataFrame:
     """Speeches with enough text that wait for a score and have tries left.
 
-    Newest first with the id as tie-break, so that a limit picks the same rows every time.
-    Without a limit the whole queue is one batch.
+    A limit picks the newest rows, with the id as tie-break, so the same ones every time.
+    Without a limit the whole queue is one unordered batch.
     """
     due = with_analysis(
-        speeches.where(F.length("full_text") > scoring.SHORT_TEXT),
+        _long_enough(speeches, "speaker_id"),
         analysis.select("speech_id", "analysis_status", "analysis_attempts", "synced_at"),
     ).where(_is_open() & (F.coalesce("analysis_attempts", F.lit(0)) < MAX_ATTEMPTS))
-    queue = with_speaker(due, members).select(
-        "id", "bank_code", "title", "full_text", "date", F.coalesce("speaker", F.lit("Unknown")).alias("speaker")
+    named = with_speaker(due, members).select("id", "date", F.coalesce("speaker", F.lit("Unknown")).alias("speaker"))
+    queue = named if limit is None else named.orderBy(F.col("date").desc(), "id").limit(limit)
+    out = _with_text(queue.select("id", "speaker"), speeches).select(
+        "id", "bank_code", "title", "full_text", "date", "speaker"
     )
-    return queue if limit is None else queue.orderBy(F.col("date").desc(), "id").limit(limit)
+    return out if limit is None else out.orderBy(F.col("date").desc(), "id")
+
+
+def _long_enough(speeches: DataFrame, *columns: str) -> DataFrame:
+    """Speeches with enough text for a score, without the text."""
+    return speeches.where(F.length("full_text") > scoring.SHORT_TEXT).select("id", "date", *columns)
+
+
+def _with_text(chosen: DataFrame, speeches: DataFrame) -> DataFrame:
+    """The texts of chosen rows, fetched last: the joins that choose never carry a text,
+    and a small choice is broadcast to the scan."""
+    return chosen.join(speeches.select("id", "bank_code", "title", "full_text", "date"), "id")
 
 
 def untried_then_failed(
@@ -57,16 +71,17 @@ def untried_then_failed(
     """Never tried rows (tier 0), then tried ones without keywords and with one to
     five attempts (tier 1), newest first. One ordered batch instead of one row at a time."""
     rows = with_analysis(
-        speeches.where(F.length("full_text") > scoring.SHORT_TEXT),
-        analysis.select("speech_id", "keywords", "analysis_attempts", "synced_at"),
+        _long_enough(speeches), analysis.select("speech_id", "keywords", "analysis_attempts", "synced_at")
     )
     attempts = F.coalesce("analysis_attempts", F.lit(0))
     failed = (F.coalesce("keywords", F.lit("[]")) == "[]") & attempts.between(1, 5)
     rows = rows.withColumn("tier", F.when(attempts == 0, 0).when(failed, 1)).where(F.col("tier").isNotNull())
     if since_year is not None:
         rows = rows.where(F.col("date") >= F.lit(f"{since_year}-01-01").cast("date"))
-    out = rows.select("id", "title", "date", "tier", "full_text")
-    return out if limit is None else out.orderBy("tier", F.col("date").desc(), "id").limit(limit)
+    if limit is not None:
+        rows = rows.orderBy("tier", F.col("date").desc(), "id").limit(limit)
+    out = _with_text(rows.select("id", "tier"), speeches).select("id", "title", "date", "tier", "full_text")
+    return out if limit is None else out.orderBy("tier", F.col("date").desc(), "id")
 
 
 def unscored_of_speaker(
@@ -117,14 +132,16 @@ def revive_skipped(analysis: DataFrame, speeches: DataFrame) -> DataFrame:
     ready = speeches.where(F.length("full_text") > scoring.SHORT_TEXT).select(
         F.col("id").alias("speech_id"), F.lit(True).alias("_ready")
     )
-    hit = F.col("_ready") & (F.col("analysis_status") == "skipped")
+    skipped, rest = split_rows(analysis, F.col("analysis_status") == "skipped")
+    hit = F.col("_ready")
     cleared = ("stance_score", "stance_reason", "keywords", "main_risk", "analyzed_at", "synced_at")
     values = {c: F.when(~F.coalesce(hit, F.lit(False)), F.col(c)) for c in cleared}
     values["analysis_status"] = F.when(hit, OPEN).otherwise(F.col("analysis_status"))
     values["analysis_attempts"] = F.when(hit, 0).otherwise(F.col("analysis_attempts"))
-    return analysis.join(ready, "speech_id", "left").select(*[
+    revived = skipped.join(ready, "speech_id", "left").select(*[
         values.get(c, F.col(c)).alias(c) for c in analysis.columns
     ])
+    return revived.unionByName(rest)
 
 
 Scorer = Callable[[pd.Series], pd.Series]
