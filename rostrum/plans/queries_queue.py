@@ -119,22 +119,25 @@ def scores_clear_sync(v):
     return out.select("id", F.col("synced_at").isNotNull().alias("synced"))
 
 
-def _word_count_scorer(inputs):
-    import json
-
-    return inputs.map(lambda t: json.dumps({"stance_score": (t.count("a") % 21 - 10) / 10, "stance_reason": "a", "keywords": []}))
-
-
 @query(f"""
     SELECT id AS speech_id, round(((length(doc) - length(replace(doc, 'a', ''))) % 21 - 10) / 10.0, 6) + 0.0 AS stance_score
     FROM (SELECT q.id, 'Date: ' || q.date || chr(10) || 'Speaker: ' || coalesce(m.name, 'Unknown') || chr(10) || chr(10)
       || 'Speech Text:' || chr(10) || full_text || chr(10) AS doc FROM ({QUEUE_SQL}) q LEFT JOIN members_d m ON q.speaker_id = m.id)""")
 def score_batch(v):
     """A user's scorer over the whole queue."""
+    import json
+
     from rostrum.functions import scoring
 
+    def count_letters(inputs):
+        def answer(text):
+            score = (text.count("a") % 21 - 10) / 10
+            return json.dumps({"stance_score": score, "stance_reason": "a", "keywords": []})
+
+        return inputs.map(answer)
+
     due = queue.pending_queue(v.speeches_d, v.analysis_d, v.members_d)
-    out = queue.score_batch(due, _word_count_scorer)
+    out = queue.score_batch(due, count_letters)
     return out.select("speech_id", scoring.parse_result(F.col("response"))["stance_score"].alias("stance_score"))
 
 
