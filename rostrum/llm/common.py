@@ -44,6 +44,16 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) ->
         start = stop
 
 
+_TYPES = {"long": T.LongType, "int": T.IntegerType, "double": T.DoubleType, "string": T.StringType,
+          "boolean": T.BooleanType, "binary": T.BinaryType}
+
+
+def fields(ddl: str) -> T.StructType:
+    """A flat schema from 'name type, ...'; unlike Spark's own parser it needs no session, so
+    modules can be imported before one exists, and by workers."""
+    return T.StructType([T.StructField(n, _TYPES[t]()) for n, t in map(str.split, ddl.split(","))])
+
+
 def record_batch(schema: T.StructType, columns: dict[str, object]) -> pa.RecordBatch:
     """Columns (arrays or lists) as a batch with the Arrow types of `schema`."""
     from pyspark.sql.pandas.types import to_arrow_schema
