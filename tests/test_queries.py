@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from rostrum.plans import catalog
 from tests.oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
-FNS, SQLS = entry.queries(), entry.oracle_sql()
+FNS, SQLS = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
