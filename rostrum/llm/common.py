@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,15 +91,16 @@ def components(edges: DataFrame, purpose: str, rounds: int = 40) -> DataFrame:
     now = materialize(now, purpose)
     seen = None
     for _ in range(rounds):
-        both = now.select(F.col("lo").alias("u"), F.col("hi").alias("v")).unionByName(
-            now.select(F.col("hi").alias("u"), F.col("lo").alias("v")))
+        both = now.select(F.inline(F.array(
+            F.struct(F.col("lo").alias("u"), F.col("hi").alias("v")), F.struct(F.col("hi").alias("u"), F.col("lo").alias("v")))))
         smallest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where(F.col("v") > F.col("u")).join(smallest, "u").select(
             F.col("m").alias("lo"), F.col("v").alias("hi")).where(F.col("lo") != F.col("hi")).distinct()
+        # Written, as both sides of the next join would otherwise plan and run all of it.
+        large = materialize(large, purpose)
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(least, "hi").select(
-            F.col("m").alias("lo"), F.explode(F.array("lo", "hi")).alias("hi"),
-        ).where(F.col("lo") != F.col("hi")).distinct()
+        small = large.join(least, "hi").select("m", F.explode(F.array("lo", "hi")).alias("v")).where(
+            F.col("m") != F.col("v")).select(F.col("m").alias("lo"), F.col("v").alias("hi")).distinct()
         now = materialize(small, purpose)
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()
         if mark == seen:
