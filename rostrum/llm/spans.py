@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,8 +70,6 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     A run that fills a third of all rows is one row per input partition before the
     shuffle, and only repeated runs are joined back.
     """
-    import pandas as pd
-
     text, key = F.col(f"`{text_col}`"), F.xxhash64(F.col(f"`{text_col}`"))
     ident = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63)))
     spans = materialize(docs.select(ident.alias("id"), key.alias("text_key"), text.alias("text")).mapInArrow(
