@@ -176,8 +176,8 @@ def rule_verdicts(docs: DataFrame, policy: str = "v2") -> DataFrame:
 #: DuckDB form of the registered query.
 SQL = r"""
 WITH t AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents),
-w AS (SELECT r, doc_id, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), x -> x <> '') AS words,
-        list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+w AS (SELECT r, doc_id, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
         regexp_replace(text, '[^\p{L}]+', '', 'g') AS letters FROM t),
 g AS (SELECT r, unnest(range(1, len(words) - 3)) AS i, words FROM w WHERE len(words) >= 5),
 h AS (SELECT r, i, list_slice(words, i, i + 4) AS gram FROM g),
