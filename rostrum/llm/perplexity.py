@@ -12,7 +12,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rostrum.llm.common import fields, held_out, mix, record_batch, table, text_slices
@@ -114,11 +114,11 @@ def _sums(order: int, shared):
 def count_grams(docs: DataFrame, order: int = 5, flush: int = 1_000_000) -> DataFrame:
     """(code, gram, n_trusted, n_all) over all of `docs` (text, trusted)."""
     found = docs.select("text", "trusted").mapInArrow(_count(order, flush), GRAMS)
-    return found.groupBy("code").agg(F.min("gram").alias("gram"), F.sum("n_trusted").alias("n_trusted"), F.sum("n_all").alias("n_all"))
+    return found.groupBy("code", "gram").agg(F.sum("n_trusted").alias("n_trusted"), F.sum("n_all").alias("n_all"))
 
 
 def _discount(a: Column, d: list[float]) -> Column:
-    return F.when(a >= 3, d[2]).when(a == 2, d[1]).otherwise(d[0])
+    return F.when(a >= 3, d[2]).when(a == 2, d[1]).when(a == 1, d[0]).otherwise(0.0)
 
 
 def discounts(n: list[int]) -> list[float]:
@@ -136,37 +136,32 @@ def log_probabilities(grams: DataFrame, order: int = 5) -> DataFrame:
     An n-gram that trusted text lacks falls back to its shorter form with the weight of its context.
     Every join and aggregate is over different n-grams, by n-gram or context, never over the text.
     """
-    def suffix(n: int) -> Column:
-        return F.substring("gram", order - n + 1, n)
-
-    trusted = {order: grams.where("n_trusted > 0").select("gram", F.col("n_trusted").alias("a"))}
+    counted = {order: grams.select("gram", F.col("n_trusted").alias("a"), "code")}
     for n in range(order - 1, 0, -1):
-        trusted[n] = materialize(trusted[n + 1].groupBy(F.substring("gram", 2, n).alias("gram")).agg(
-            F.count(F.lit(1)).alias("a")), f"kn-counts-{n}")
-    size = (grams.select(suffix(1)).distinct().count()) + 1
+        counted[n] = materialize(counted[n + 1].groupBy(F.substring("gram", 2, n).alias("gram")).agg(
+            F.sum((F.col("a") > 0).cast("long")).alias("a")), f"kn-counts-{n}")
+    size = counted[1].count() + 1
     level: DataFrame | None = None
     for n in range(1, order + 1):
-        figures = trusted[n].agg(*[F.sum((F.col("a") == k).cast("long")).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
-        d = discounts([figures[f"n{k}"] or 0 for k in (1, 2, 3, 4)])
-        own = trusted[n].select("gram", "a", F.substring("gram", 1, n - 1).alias("context"))
-        rest = _discount(F.col("a"), d)
-        contexts = own.groupBy("context").agg(F.sum("a").alias("total"), F.sum(rest).alias("left"))
-        seen = own.select("gram", (F.col("a") - rest).alias("own"))
-        wanted = grams.select(suffix(n).alias("gram")).distinct() if n < order else grams.select("gram", "code")
-        wanted = wanted.withColumn("context", F.substring("gram", 1, n - 1)).withColumn("shorter", F.substring("gram", 2, n - 1))
-        out = wanted.join(seen, "gram", "left").join(contexts, "context", "left")
+        figures = counted[n].agg(*[F.sum((F.col("a") == k).cast("long")).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
+        rest = _discount(F.col("a"), discounts([figures[f"n{k}"] or 0 for k in (1, 2, 3, 4)]))
+        # A context has at most as many n-grams as there are characters.
+        context = Window.partitionBy(F.substring("gram", 1, n - 1))
+        out = counted[n].withColumn("rest", rest).withColumns({
+            "total": F.sum("a").over(context), "left": F.sum("rest").over(context)}).withColumn("shorter", F.substring("gram", 2, n - 1))
         if level is None:
             out = out.withColumn("p", F.lit(1.0 / size))
         else:
             out = out.join(level.select(F.col("gram").alias("shorter"), "p"), "shorter")
-        p = F.when(F.col("total").isNull(), F.col("p")).otherwise(
-            (F.coalesce("own", F.lit(0.0)) + F.col("left") * F.col("p")) / F.col("total"))
+        p = F.when(F.col("total") == 0, F.col("p")).otherwise(
+            (F.col("a") - F.col("rest") + F.col("left") * F.col("p")) / F.col("total"))
         level = materialize(out.select("gram", *(["code"] if n == order else []), p.alias("p")), f"kn-level-{n}")
     return level.select("code", F.ln("p").alias("log_prob"))
 
 
 def score_quality(
     docs: DataFrame, labels: DataFrame, order: int = 5, quantile: float = 0.99, margin: float = 1.15, block_grams: int = 2_000_000,
+    broadcast_ids: int = 1_000_000,
 ) -> DataFrame:
     """Per row (doc_id, lang, held_out, n_chars, perplexity, threshold, kept) of `docs` (doc_id, text, lang).
 
@@ -178,12 +173,16 @@ def score_quality(
     are never trusted. Repeated rows are scored each; other columns are ignored; an empty table gives no rows.
 
     The n-gram table goes to the tasks in blocks of `block_grams` n-grams, with a pass over the texts each;
-    its size follows the different n-grams of the corpus, not its length.
+    its size follows the different n-grams of the corpus, not its length. Trusted ids are broadcast up to
+    `broadcast_ids` (8 bytes each), which changes the plan and not the result.
     """
     good = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.min("quality").alias("quality")).where("quality = 1").select("doc_id", F.lit(True).alias("_good"))
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out_of = held_out(F.col("doc_id"), 5, 0)
+    # Up to this many ids are sent to the tasks; more are joined by a shuffle of the texts.
+    if good.count() <= broadcast_ids:
+        good = F.broadcast(good)
     marked = narrow.join(good, "doc_id", "left").select(
         "text", (F.coalesce("_good", F.lit(False)) & ~out_of).alias("trusted"))
     grams = materialize(count_grams(marked, order), "kn-grams")
@@ -193,8 +192,10 @@ def score_quality(
     # Equal texts may share an id or have none: sums of blocks meet by id and text hash.
     row = F.xxhash64("doc_id", "text", F.col("doc_id").isNull())
     for block in range(blocks):
-        part = probs.where(F.pmod(F.xxhash64("code"), F.lit(blocks)) == block).toPandas().sort_values("code")
-        shared = spark.sparkContext.broadcast((part["code"].to_numpy(np.int64), part["log_prob"].to_numpy(np.float64)))
+        part = probs.where(F.pmod(F.xxhash64("code"), F.lit(blocks)) == block).toArrow()
+        codes, logs = part.column("code").to_numpy(), part.column("log_prob").to_numpy()
+        by_code = np.argsort(codes, kind="stable")
+        shared = spark.sparkContext.broadcast((codes[by_code], logs[by_code]))
         sums.append(narrow.select(row.alias("row"), "text").mapInArrow(_sums(order, shared), SUMS))
     found = reduce(DataFrame.unionByName, sums).groupBy("row").agg(
         F.max("n_chars").alias("n_chars"), (F.sum("log_prob") / F.count(F.lit(1)) * blocks).alias("log_prob"))
