@@ -93,7 +93,7 @@ def fit(train: DataFrame, per_lang: int = 400, k: int = 4, rounds: int = 8, slac
     """The model of `train` (text, lang): idf, languages, centroids and rejection floors.
 
     Document frequencies count all rows of `train`. Centroids are fitted on a sample of about
-    `per_lang` rows per language (the documented bound), chosen by a hash of the text. A text is
+    `per_lang` different texts per language (the documented bound), chosen by a hash of the text. A text is
     rejected when its best cosine is below `slack` times the lowest cosine in its language's sample.
     Rows without a language or without a letter teach nothing; no rows give a model that rejects all.
     """
@@ -102,8 +102,10 @@ def fit(train: DataFrame, per_lang: int = 400, k: int = 4, rounds: int = 8, slac
     df = {r["bucket"]: r["df"] for r in freq.collect()}  # DIMS + 1 rows
     n = df.get(-1, 0)
     idf = np.array([np.log((1 + n) / (1 + df.get(b, 0))) + 1.0 for b in range(DIMS)])
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
-    keyed = known.select("text", "lang", F.xxhash64("text").alias("key")).join(F.broadcast(sizes), "lang")
+    keyed = known.select("text", "lang", F.xxhash64("text").alias("key"))
+    # The draw is of different texts, so its share counts those, not rows.
+    sizes = keyed.select("lang", "key").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    keyed = keyed.join(F.broadcast(sizes), "lang")
     sample = keyed.where(F.pmod("key", F.lit(1_000_000)) < 1_000_000.0 * per_lang / F.col("_n")).select("lang", "text", "key")
     # Equal texts have one key: they count once, so copies do not swell the sample.
     sample = sample.dropDuplicates(["lang", "key"])
