@@ -64,6 +64,22 @@ def _doc_freq(batches):
     yield record_batch(schema, {"bucket": list(range(-1, DIMS)), "df": [n, *total.tolist()]})
 
 
+def floors(cosines: np.ndarray, own: np.ndarray, k: int, slack: float, low: float = 0.01) -> np.ndarray:
+    """`slack` times the `low` quantile of the cosines of each centroid's own members; 1 without any."""
+    return np.array([slack * np.quantile(cosines[own == i], low) if (own == i).any() else 1.0 for i in range(k)])
+
+
+def nearest(model: dict, text: str | None) -> tuple[str, float, bool]:
+    """(language, cosine, rejected) of a text."""
+    counts = ngram_counts(text)
+    if counts is None or not model["langs"]:
+        return UNKNOWN, 0.0, True
+    near = model["centroids"] @ vector(counts, model["idf"])
+    lang = model["langs"][int(np.argmax(near))]
+    same = np.array([x == lang for x in model["langs"]])
+    return lang, float(np.clip(near.max(), 0, 1)), not (near >= model["floors"])[same].any()
+
+
 def _cluster(idf: np.ndarray, k: int, rounds: int, slack: float):
     """Spherical k-means over the sample of one language; rows (lang, centroid, floor)."""
     def run(frame: pd.DataFrame) -> pd.DataFrame:
@@ -81,10 +97,10 @@ def _cluster(idf: np.ndarray, k: int, rounds: int, slack: float):
             own = np.argmax(rows @ centres.T, axis=1)
             sums = np.stack([rows[own == i].sum(axis=0) if (own == i).any() else centres[i] for i in range(len(centres))])
             centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
-        near = (rows @ centres.T).max(axis=1)
+        near = rows @ centres.T
         return pd.DataFrame({
             "lang": frame["lang"].iloc[0], "centroid": [c.astype("<f4").tobytes() for c in centres],
-            "floor": slack * float(near.min())})
+            "floor": floors(near.max(axis=1), np.argmax(near, axis=1), len(centres), slack)})
 
     return run
 
@@ -94,7 +110,8 @@ def fit(train: DataFrame, per_lang: int = 400, k: int = 4, rounds: int = 8, slac
 
     Document frequencies count all rows of `train`. Centroids are fitted on a sample of about
     `per_lang` different texts per language (the documented bound), chosen by a hash of the text. A text is
-    rejected when its best cosine is below `slack` times the lowest cosine in its language's sample.
+    rejected when no centroid of its nearest language is as near as `slack` times the lowest hundredth of
+    the cosines of that centroid's own sample texts, so that a few odd texts do not move the floor.
     Rows without a language or without a letter teach nothing; no rows give a model that rejects all.
     """
     known = train.where(F.col("lang").isNotNull())
@@ -122,15 +139,7 @@ def _predict(model):
         m = model.value
         for batch in batches:
             for part in text_slices(batch, "text"):
-                out = []
-                for text in part.column(1).to_pylist():
-                    counts = ngram_counts(text)
-                    if counts is None or not m["langs"]:
-                        out.append((UNKNOWN, 0.0, True))
-                        continue
-                    near = m["centroids"] @ vector(counts, m["idf"])
-                    at = int(np.argmax(near))
-                    out.append((m["langs"][at], float(np.clip(near[at], 0, 1)), bool(near[at] < m["floors"][at])))
+                out = [nearest(m, text) for text in part.column(1).to_pylist()]
                 yield record_batch(PREDICTED, {
                     "doc_id": part.column(0), "doc_lang": part.column(2), "lang_pred": [r[0] for r in out],
                     "score": [r[1] for r in out], "rejected": [r[2] for r in out]})
@@ -164,11 +173,6 @@ def keep_known(docs: DataFrame) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def known(texts: pd.Series) -> pd.Series:
-        m, out = shared.value, []
-        for text in texts:
-            counts = ngram_counts(text)
-            near = m["centroids"] @ vector(counts, m["idf"]) if counts is not None and m["langs"] else None
-            out.append(near is not None and bool(near.max() >= m["floors"][int(np.argmax(near))]))
-        return pd.Series(out, dtype=bool)
+        return pd.Series([not nearest(shared.value, text)[2] for text in texts], dtype=bool)
 
     return docs.where(known(F.col("text")))

@@ -22,3 +22,19 @@ def test_a_language_of_copies_keeps_its_sample(spark):
     rows += [(text("de", 0), "de")] * 9990 + [(text("de", i), "de") for i in range(1, 11)]
     model = language.fit(spark.createDataFrame(rows, "text string, lang string"))
     assert model["langs"].count("de") == 4 and model["langs"].count("en") == 4
+
+
+FOREIGN = (
+    "Сегодня утром мы пошли на рынок и купили свежие овощи", "今日は天気がいいので公園に散歩に行きました",
+    "xkq zzvw qqjx wvkz xxjq kqzv bbxq jjzk", "zażółć gęślą jaźń pchnąć łódź jeża")
+
+
+def test_odd_texts_in_the_sample_do_not_open_the_floor(spark):
+    rows = [(text(lang, i), lang) for lang in WORDS for i in range(390)]
+    rows += [(odd * 2, lang) for lang in WORDS for odd in ("щ", "ß", "q", "λ", "木", "ж")]
+    model = language.fit(spark.createDataFrame(rows, "text string, lang string"))
+    asked = [*FOREIGN, text("en", 1000), text("de", 1000)]
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(asked)], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: (r["lang_pred"], r["rejected"]) for r in language.predict(docs, model).collect()}
+    assert [got[i][1] for i in range(len(FOREIGN))] == [True] * len(FOREIGN)
+    assert [got[i] for i in (len(FOREIGN), len(FOREIGN) + 1)] == [("en", False), ("de", False)]
