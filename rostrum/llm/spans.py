@@ -1,7 +1,7 @@
 """Substring deduplication by sliding sentence spans (operator 4).
 
-Every run of several consecutive sentences is hashed; runs are joined over all documents, and
-sentences covered by a repeated run other than its first are removed.
+Shortest runs of consecutive sentences, and long single ones, are hashed; runs are joined over all
+documents, and sentences covered by a repeated run other than its first are removed.
 """
 
 from __future__ import annotations
@@ -28,18 +28,24 @@ def sentences(text: str) -> list[str]:
 
 
 def runs(text: str, least: int, words: int) -> list[tuple[int, int, bytes]]:
-    """(start, sentences, hash) of the shortest run of at least `least` sentences and `words` words
-    from every sentence on. Runs depend on nothing before them, so equal passages have equal runs."""
+    """(start, sentences, hash) of the shortest run that starts, and of the shortest that ends, at every
+    sentence. A run has `words` words, in one sentence or in at least `least`. Runs depend on nothing
+    outside them, so equal passages have equal runs, which cover them from first to last sentence."""
     split = [s.lower().encode("utf-8", "surrogatepass").split() for s in sentences(text)]
-    out = []
-    for i in range(len(split)):
-        j, n = i, 0
-        while j < len(split) and (j - i < least or n < words):
-            n += len(split[j])
-            j += 1
-        if j - i >= least and n >= words:
-            out.append((i, j - i, xxhash.xxh3_128_digest(b" ".join(w for s in split[i:j] for w in s))))
-    return out
+    sizes = [len(s) for s in split]
+
+    def reach(order: range) -> int:
+        """How many sentences of `order` a run needs; 0 if they do not suffice."""
+        n = 0
+        for k, i in enumerate(order, 1):
+            n += sizes[i]
+            if n >= words and (k == 1 or k >= least):
+                return k
+        return 0
+
+    found = {(i, k) for i in range(len(split)) if (k := reach(range(i, len(split))))}
+    found |= {(i - k + 1, k) for i in range(len(split)) if (k := reach(range(i, -1, -1)))}
+    return [(i, k, xxhash.xxh3_128_digest(b" ".join(w for s in split[i:i + k] for w in s))) for i, k in sorted(found)]
 
 
 def _spans(least: int, words: int):
@@ -66,7 +72,8 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     """`docs` with repeated passages cut from the text; columns and rows stay, the text may become empty.
 
     The first place of a run, by id, text hash and position, keeps it. Rows equal in id and text
-    are one document and stay equal. Null and empty texts have no runs and stay; a null id comes first.
+    are one document and stay equal. A passage goes in whole sentences: what it has of a sentence it
+    begins or ends in the middle of stays, and so does a passage without a run inside. Null and empty texts have no runs and stay; a null id comes first.
     A run that fills a third of all rows is one row per input partition before the
     shuffle, and only repeated runs are joined back.
     """
