@@ -271,13 +271,15 @@ def name_in_text(speeches: DataFrame, roster: DataFrame, small_roster: int = SMA
         "id", "bank_code",
         F.lower(F.concat_ws(" ", "title", F.substring("full_text", 1, SEARCH_WINDOW))).alias("area"),
     )
-    small = roster.limit(small_roster + 1).count() <= small_roster
-    return (_names_by_list if small else _names_by_gram)(area, roster)
+    # Both ways compare the name as folded here; a null or empty name is no name.
+    names = roster.select("bank_code", "position", "name", F.lower("name").alias("low")).where(F.length("low") > 0)
+    small = names.limit(small_roster + 1).count() <= small_roster
+    return (_names_by_list if small else _names_by_gram)(area, names)
 
 
-def _names_by_list(area: DataFrame, roster: DataFrame) -> DataFrame:
-    lists = roster.groupBy("bank_code").agg(F.sort_array(F.collect_list(F.struct("position", "name"))).alias("people"))
-    found = F.filter("people", lambda p: F.contains(F.col("area"), F.lower(p["name"])))
+def _names_by_list(area: DataFrame, names: DataFrame) -> DataFrame:
+    lists = names.groupBy("bank_code").agg(F.sort_array(F.collect_list(F.struct("position", "name", "low"))).alias("people"))
+    found = F.filter("people", lambda p: F.contains(F.col("area"), p["low"]))
     return (
         area.join(F.broadcast(lists), "bank_code")
         .select("id", F.try_element_at(found, F.lit(1))["name"].alias("speaker"))
@@ -285,11 +287,11 @@ def _names_by_list(area: DataFrame, roster: DataFrame) -> DataFrame:
     )
 
 
-def _names_by_gram(area: DataFrame, roster: DataFrame) -> DataFrame:
+def _names_by_gram(area: DataFrame, names: DataFrame) -> DataFrame:
     # At most GRAM different key lengths exist; only those are cut from the texts.
-    key_length = F.least(F.length("name"), F.lit(GRAM))
-    sizes = sorted(r[0] for r in roster.where(F.length("name") > 0).select(key_length).distinct().collect())
-    keyed = roster.select("bank_code", "position", "name", F.lower(F.substring("name", F.lit(1), key_length)).alias("gram"))
+    key_length = F.least(F.length("low"), F.lit(GRAM))
+    sizes = sorted(r[0] for r in names.select(key_length).distinct().collect())
+    keyed = names.select("bank_code", "position", "name", "low", F.substring("low", F.lit(1), key_length).alias("gram"))
 
     def cut(letters: Column, size: int) -> Column:
         starts = F.sequence(F.lit(1), F.size(letters) - size + 1)
@@ -305,10 +307,10 @@ def _names_by_gram(area: DataFrame, roster: DataFrame) -> DataFrame:
     pieces = area.select("id", "bank_code", F.explode(grams).alias("gram"))
     # The size of the exploded side is underestimated by the optimizer, so it must not be
     # broadcast; a merge join also lets AQE split hot grams.
-    hits = pieces.hint("merge").join(keyed, ["bank_code", "gram"]).select("id", "position", "name")
+    hits = pieces.hint("merge").join(keyed, ["bank_code", "gram"]).select("id", "position", "name", "low")
     return (
         hits.join(area.select("id", "area"), "id")
-        .where(F.contains(F.col("area"), F.lower("name")))
+        .where(F.contains(F.col("area"), F.col("low")))
         .groupBy("id").agg(F.min_by("name", F.struct("position", "name")).alias("speaker"))
     )
 

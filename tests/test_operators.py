@@ -130,6 +130,20 @@ def test_name_in_text_both_ways(frame, small):
     assert got == {1: "Jane Doe", 2: "aint Pau", 5: "Bo", 6: "Ünal", 7: "Y"}
 
 
+@pytest.mark.parametrize("small", [0, 1000])
+def test_name_in_text_admits_the_same_names_both_ways(frame, small):
+    """Null and empty names, and names whose length or letters change with the case."""
+    speeches = frame(
+        "id long, bank_code string, title string, full_text string", (1, "A", "t", "by Jane Doe"), (2, "A", "t", "by İİİİ Öz"),
+        (3, "A", "t", "by ΝΙΚΟΛΑΟΣΙΔΗΣ Α"), (4, "A", "t", "nobody"), (5, "A", "t", "ΑΣ"),
+    )
+    roster = frame(
+        "bank_code string, name string, position long", ("A", "", 0), ("A", None, 1), ("A", "Jane Doe", 2),
+        ("A", "İİİİ Öz", 3), ("A", "ΝΙΚΟΛΑΟΣΙΔΗΣ", 4), ("A", "ΑΣ", 5))
+    got = {r["id"]: r["speaker"] for r in members.name_in_text(speeches, roster, small).collect()}
+    assert got == {1: "Jane Doe", 2: "İİİİ Öz", 3: "ΝΙΚΟΛΑΟΣΙΔΗΣ", 5: "ΑΣ"}
+
+
 def test_lastname_lookup(frame):
     people = frame(
         "bank_code string, name string, status string, last_speech_date date", ("FRB", "Michael S. Barr", "active", None),
