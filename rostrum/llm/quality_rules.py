@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rostrum.functions.basic import let
 from rostrum.llm.common import NOT_SPACE, SPACE
 
 SPACES = " \t\n\u000b\f\r"
@@ -57,24 +58,27 @@ def mask_of(rules: tuple[str, ...], known: tuple[Rule, ...] = RULES) -> int:
     return sum(1 << names.index(r) for r in rules)
 
 
-def _repeat_words(words: Column, hashes: Column, n: int) -> Column:
+def _repeat_words(hashes: Column, n: int) -> Column:
     """Words covered by windows of `n` words that occur at least twice.
 
     Windows are compared by a 64-bit hash. (hash, position) pairs are sorted, so that equal windows
     are neighbours; the positions with an equal neighbour, in order, cover n words each less
-    their overlap with the next. No step is quadratic in the length of the text.
+    their overlap with the next. Both sorted arrays are bound to a value (`let`): an expression
+    inside a lambda is computed again for every element. Two sorts are the dearest steps.
     """
-    pairs = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    last = F.size(pairs) - 1
+    def covered(places: Column) -> Column:
+        gaps = F.zip_with(places, F.slice(places, 2, F.size(places)), lambda p, q: F.least(F.coalesce(q - p, F.lit(n)), F.lit(n)))
+        return F.aggregate(gaps, F.lit(0).cast("long"), lambda total, g: total + g)
 
-    def twin(p: Column, k: Column) -> Column:
-        before = F.when(k > 0, F.get(pairs, k - 1)["h"] == p["h"]).otherwise(False)
-        return before | F.when(k < last, F.get(pairs, k + 1)["h"] == p["h"]).otherwise(False)
+    def twins(pairs: Column) -> Column:
+        def same(p: Column, k: Column) -> Column:
+            return F.coalesce(F.get(pairs, k)["h"] == p["h"], F.lit(False))
 
-    places = F.array_sort(F.transform(F.filter(pairs, twin), lambda p: p["i"]))
-    ends = F.size(places) - 1
-    gaps = F.transform(places, lambda p, k: F.when(k < ends, F.least(F.get(places, k + 1) - p, F.lit(n))).otherwise(n))
-    return F.aggregate(gaps, F.lit(0).cast("long"), lambda total, g: total + g)
+        marked = F.filter(pairs, lambda p, k: same(p, k - 1) | same(p, k + 1))
+        return F.sort_array(F.transform(marked, lambda p: p["i"]))
+
+    pairs = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    return let(let(pairs, twins), covered)
 
 
 def measure(docs: DataFrame, text_col: str = "text", window: int = 5) -> DataFrame:
@@ -107,7 +111,7 @@ def measure(docs: DataFrame, text_col: str = "text", window: int = 5) -> DataFra
         ).otherwise(F.array().cast("array<bigint>")).alias("_hashes"),
     )
     repeats = F.when(F.size(F.array_distinct("_hashes")) == F.size("_hashes"), F.lit(0).cast("long")).otherwise(
-        _repeat_words(F.col("_words"), F.col("_hashes"), window))
+        _repeat_words(F.col("_hashes"), window))
     return staged.select(
         *[F.col(f"`{c}`") for c in names],
         F.size("_words").cast("long").alias("n_words"), "word_chars",
