@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rostrum.llm import (
-    decontaminate, language, licences, near_dedup, packing, periods, perplexity, prefix_trie, quality_rules, sharding,
-    spans, toxicity)
+    decontaminate, language, licences, near_dedup, packing, periods, perplexity, prefix_trie, quality_rules,
+    recurrent, sharding, spans, toxicity)
 from rostrum.llm.common import table
 
 
@@ -32,7 +32,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_sharding, decontaminate.op2_decontamination, toxicity.op3_toxicity, spans.op4_substring_dedup, op5_licences, op6_packing,
         language.op7_language_id, near_dedup.op8_minhash, op9_quality_rules,
-        perplexity.op10_kneser_ney, periods.op11_periodic_runs, prefix_trie.op12_prefix_trie)
+        perplexity.op10_kneser_ney, periods.op11_periodic_runs, prefix_trie.op12_prefix_trie,
+        recurrent.op13_recurrent_lm)
     return {f.__name__: f for f in own}
 
 
