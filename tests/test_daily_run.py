@@ -2,6 +2,10 @@
 
 import datetime as dt
 import json
+import os
+import subprocess
+import sys
+from pathlib import Path
 
 from rostrum import schemas
 from rostrum.plans import daily_run
@@ -42,3 +46,20 @@ def test_daily_run(spark, frame):
 
 def test_work_folder_uses_the_session_setting(spark):
     assert work_folder(spark, "x").startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+
+
+def test_workers_of_a_session_from_another_folder_have_the_package(tmp_path):
+    root = Path(__file__).resolve().parents[1]
+    job = (
+        f"import sys; sys.path.insert(0, {str(root)!r})\n"
+        "from rostrum.session import build_session, ship_package\n"
+        "from rostrum.functions.basic import words\n"
+        "spark = build_session('away', 'local[1]', **{'spark.ui.enabled': 'false'})\n"
+        "ship_package(spark)\n"
+        "def names(batches):\n"
+        "    import rostrum.session\n"
+        "    yield from batches\n"
+        "print('rows', spark.range(3).mapInArrow(names, 'id long').count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    said = subprocess.run([sys.executable, "-c", job], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert "rows 3" in said.stdout, said.stderr[-2000:]
