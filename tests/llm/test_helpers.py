@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
-from rostrum.llm import decontaminate, language, near_dedup, packing, spans, toxicity
+from rostrum.llm import language, near_dedup, packing, spans, toxicity
 
 
 def edits(a: str, b: str) -> int:
@@ -59,21 +59,6 @@ def test_sentences_join_to_the_text(text):
     assert "".join(spans.sentences(text)) == text
 
 
-@given(st.lists(st.integers(0, 3), max_size=6), st.lists(st.integers(0, 3), max_size=8))
-def test_local_distance(item, window):
-    a, b = "".join(map(str, item)), "".join(map(str, window))
-    want = min(edits(a, b[i:j]) for i in range(len(b) + 1) for j in range(i, len(b) + 1))
-    assert decontaminate.local_distance(np.array(item, dtype=int), np.array(window, dtype=int)) == want
-
-
-@pytest.mark.parametrize("rep", range(6))
-def test_equal_passages_have_equal_keys(rep):
-    codes = decontaminate.word_codes(" ".join(f"w{i}" for i in range(60)))
-    inside = decontaminate.embed_keys(codes, np.array([7]), 24, rep)
-    alone = decontaminate.embed_keys(codes[7:37], np.array([0]), 24, rep)
-    assert inside == alone
-
-
 def test_letters_decide_the_language_vector():
     assert language.ngram_counts(None) is None and language.ngram_counts("12 !") is None
     assert (language.ngram_counts("ab, cd") == language.ngram_counts("AB -- CD")).all()
