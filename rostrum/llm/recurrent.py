@@ -9,28 +9,39 @@ from window to window.
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from rostrum.llm.common import fields, held_out, record_batch, table
+from rostrum.llm.common import fields, held_out, record_batch, table, text_slices
 from rostrum.session import materialize
 
 #: Word 0 is the end of a text. It also stands before a text's first word.
 END = 0
 COUNTS = fields("word binary, in_training long, in_all long")
 REPLICA = fields("part int, weight double, params binary")
-SCORED = fields(
-    "key long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, word binary, times long")
+SCORED = T.StructType([
+    *fields("key long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"),
+    T.StructField("rest", T.ArrayType(T.BinaryType()))])
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """The contract's words of a whole text: A-Z lower-cased, cut at the six ASCII spaces."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The contract's words of whole texts, A-Z lower-cased and cut at the six ASCII spaces: all words (as bytes) and
+    how many each text has. A null text has none."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    flat = lists.flatten()
+    some = np.asarray(pc.binary_length(flat)) > 0  # spaces at either end leave empty strings
+    before = np.concatenate([[0], np.cumsum(some)])
+    offsets = np.asarray(lists.offsets) - (lists.offsets[0].as_py() if len(lists) else 0)
+    sizes = np.diff(before[offsets]) if len(lists) else np.zeros(0, np.int64)
+    return flat.filter(pa.array(some)).cast(pa.binary()), sizes
 
 
 @dataclass
@@ -47,12 +58,20 @@ class Words:
     total: int
     distinct: int
 
-    def places(self) -> dict[bytes, int]:
-        return {w: i for i, w in enumerate(self.words) if i}
+    def find(self, flat: pa.Array, sizes: np.ndarray) -> np.ndarray:
+        """The places of the words of texts, each closed by its end; -1 is a word that is not among the known."""
+        if not hasattr(self, "_known"):
+            self._known = pa.array(self.words, pa.binary())
+        at = np.full(len(flat) + len(sizes), END, dtype=np.int32)
+        ends = np.cumsum(sizes + 1) - 1
+        inside = np.ones(len(at), dtype=bool)
+        inside[ends] = False
+        at[inside] = np.asarray(pc.fill_null(pc.index_in(flat, value_set=self._known), -1))
+        return at
 
     def model_words(self, at: np.ndarray) -> np.ndarray:
         """The model's words of places; -1 is a word that is not among the known."""
-        return np.where(at >= 0, self.model[at], self.size)
+        return np.where(at >= 0, self.model[at], np.int32(self.size))
 
     @property
     def tail(self) -> float:
@@ -99,11 +118,19 @@ class Model:
         """One word: (new state, reset gate, update gate, candidate, recurrent part of the candidate)."""
         k = self.hidden
         g = h @ self.u
-        gates = 1.0 / (1.0 + np.exp(-(x[:, :2 * k] + g[:, :2 * k])))
-        r, z = gates[:, :k], gates[:, k:]
-        gn = g[:, 2 * k:]
-        n = np.tanh(x[:, 2 * k:] + r * gn)
-        return n + z * (h - n), r, z, n, gn
+        gates = x[:, :2 * k] + g[:, :2 * k]
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1.0
+        np.reciprocal(gates, out=gates)
+        r, z, gn = gates[:, :k], gates[:, k:], g[:, 2 * k:]
+        n = r * gn
+        n += x[:, 2 * k:]
+        np.tanh(n, out=n)
+        new = h - n
+        new *= z
+        new += n
+        return new, r, z, n, gn
 
     def outputs(self, h: np.ndarray, target: np.ndarray, grads: Model | None = None):
         """Log-probability (base e, without the counts of the last class) of each target; with `grads` also
@@ -111,18 +138,21 @@ class Model:
         m = len(h)
         rows, cls = np.arange(m), target // self.width
         cls = np.where(target >= self.size, self.classes, cls)
-        logits = h @ self.c + self.cb
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        sums = e.sum(axis=1)
-        logp = logits[rows, cls] - np.log(sums)
+        # Classes x states: sums over classes then run along memory.
+        columns = np.ascontiguousarray(h.T)
+        logits = self.c.T @ columns + self.cb[:, None]
+        logits -= logits.max(axis=0)
+        logp = logits[cls, rows]
+        e = np.exp(logits, out=logits)
+        sums = e.sum(axis=0)
+        logp -= np.log(sums)
         dh = None
         if grads is not None:
-            e *= (1.0 / (m * sums))[:, None]
-            e[rows, cls] -= 1.0 / m
-            grads.c += h.T @ e
-            grads.cb += e.sum(axis=0)
-            dh = e @ self.c.T
+            e *= 1.0 / (m * sums)
+            e[cls, rows] -= 1.0 / m
+            grads.c += (e @ h).T
+            grads.cb += e.sum(axis=1)
+            dh = e.T @ self.c.T
         order = np.argsort(cls, kind="stable")
         cuts = np.searchsorted(cls[order], np.arange(self.classes + 1))
         for k in range(self.classes):
@@ -130,17 +160,18 @@ class Model:
             if not len(some):
                 continue
             hs, word, at = h[some], target[some] - k * self.width, np.arange(len(some))
-            inner = hs @ self.w[k].T + self.wb[k]
-            inner -= inner.max(axis=1, keepdims=True)
-            e = np.exp(inner)
-            sums = e.sum(axis=1)
-            logp[some] += inner[at, word] - np.log(sums)
+            inner = self.w[k] @ hs.T + self.wb[k][:, None]
+            inner -= inner.max(axis=0)
+            here = inner[word, at]
+            e = np.exp(inner, out=inner)
+            sums = e.sum(axis=0)
+            logp[some] += here - np.log(sums)
             if grads is not None:
-                e *= (1.0 / (m * sums))[:, None]
-                e[at, word] -= 1.0 / m
-                grads.w[k] += e.T @ hs
-                grads.wb[k] += e.sum(axis=0)
-                dh[some] += e @ self.w[k]
+                e *= 1.0 / (m * sums)
+                e[word, at] -= 1.0 / m
+                grads.w[k] += e @ hs
+                grads.wb[k] += e.sum(axis=1)
+                dh[some] += e.T @ self.w[k]
         return logp, dh
 
     def window(self, source: np.ndarray, target: np.ndarray, h: np.ndarray) -> tuple[float, np.ndarray, Model]:
@@ -183,18 +214,27 @@ class Trainer:
 
     def __init__(self, model: Model, rate: float, steps: int = 16, lanes: int = 512, lane_words: int = 1024):
         self.model, self.rate, self.steps, self.lanes, self.lane_words = model, rate, steps, lanes, lane_words
-        self.first, self.second, self.updates = np.zeros_like(model.flat), np.zeros_like(model.flat), 0
+        self.first, self.second, self.buffer = (np.zeros_like(model.flat) for _ in range(3))
+        self.updates = 0
 
     def update(self, grads: np.ndarray) -> None:
         norm = float(np.sqrt((grads * grads).sum()))
         if norm > 1.0:
             grads *= 1.0 / norm
         self.updates += 1
-        self.first += 0.1 * (grads - self.first)
-        grads *= grads
-        self.second += 0.01 * (grads - self.second)
-        size = self.rate * np.sqrt(1 - 0.99 ** self.updates) / (1 - 0.9 ** self.updates)
-        self.model.flat -= size * self.first / (np.sqrt(self.second) + 1e-6)
+        buffer = self.buffer
+        np.subtract(grads, self.first, out=buffer)
+        buffer *= 0.1
+        self.first += buffer
+        np.multiply(grads, grads, out=grads)
+        grads -= self.second
+        grads *= 0.01
+        self.second += grads
+        np.sqrt(self.second, out=buffer)
+        buffer += 1e-6
+        np.divide(self.first, buffer, out=buffer)
+        buffer *= self.rate * np.sqrt(1 - 0.99 ** self.updates) / (1 - 0.9 ** self.updates)
+        self.model.flat -= buffer
 
     def learn(self, words: np.ndarray) -> float:
         """One pass over whole texts, each closed by an end. Returns the mean loss."""
@@ -222,7 +262,7 @@ def log_likelihoods(model: Model, texts: list[np.ndarray], block: int = 8192) ->
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
     sizes = np.array([len(texts[i]) for i in order], dtype=np.int64)
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(order) else np.zeros(0, dtype=np.int64)
-    words = np.concatenate([texts[i] for i in order]) if order else np.zeros(0, dtype=np.int64)
+    words = np.concatenate([texts[i] for i in order]) if order else np.zeros(0, dtype=np.int32)
     source = np.concatenate([[END], words[:-1]]) if len(words) else words
     source[starts] = END
     logp, h = np.zeros(len(words)), np.zeros((len(order), model.hidden), np.float32)
@@ -257,30 +297,45 @@ def log_likelihoods(model: Model, texts: list[np.ndarray], block: int = 8192) ->
     return out
 
 
-def _count(most: int):
-    """Words of a task's rows (text, in_training) with their counts, a few hundred thousand at a time."""
-    def run(batches):
-        train, rest = Counter(), Counter()
+def _merged(tables: list[pa.Table]) -> pa.Table:
+    total = pa.concat_tables(tables).group_by("word").aggregate([("in_training", "sum"), ("in_all", "sum")])
+    return total.select(["word", "in_training_sum", "in_all_sum"]).rename_columns(["word", "in_training", "in_all"])
+
 
-        def rows():
-            words = list(train.keys() | rest.keys())
-            a = [train[w] for w in words]
-            return record_batch(COUNTS, {"word": words, "in_training": a, "in_all": [x + rest[w] for x, w in zip(a, words, strict=True)]})
+def _count(most: int):
+    """Words of a task's rows (text, learnt) with their counts, some hundred thousand different ones at a time."""
+    def counted(words: pa.Array, learnt: bool) -> pa.Table:
+        found = words.value_counts()
+        n = found.field("counts").cast(pa.int64())
+        return pa.table({"word": found.field("values"), "in_training": n if learnt else pa.array(np.zeros(len(n), np.int64)), "in_all": n})
 
+    def run(batches):
+        held, size = [], 0
         for batch in batches:
-            for text, learnt in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                counter = train if learnt else rest
-                counter.update(words_of(text.as_py()))
-                counter[b""] += 1  # the end
-                if len(train) + len(rest) > most:
-                    yield rows()
-                    train, rest = Counter(), Counter()
-        yield rows()
+            for part in text_slices(batch, "text"):
+                flat, sizes = split_words(part.column(0))
+                learnt = np.asarray(part.column(1).to_numpy(zero_copy_only=False), dtype=bool)
+                mask = np.repeat(learnt, sizes)
+                for words, texts, kind in ((flat.filter(pa.array(mask)), int(learnt.sum()), True), (flat.filter(pa.array(~mask)), int((~learnt).sum()), False)):
+                    if texts:
+                        held.append(counted(pa.concat_arrays([words, pa.array([b""], pa.binary())]), kind))
+                        # The end, as often as there are texts.
+                        ends = pa.table({"word": pa.array([b""], pa.binary()), "in_training": pa.array([(texts - 1) * kind]), "in_all": pa.array([texts - 1])})
+                        held.append(ends)
+                        size += len(held[-2])
+                if size > most:
+                    held = [_merged(held)]
+                    size = len(held[0])
+                    if size > most // 2:
+                        yield from held[0].to_batches()
+                        held, size = [], 0
+        if held:
+            yield from _merged(held).to_batches()
 
     return run
 
 
-def word_counts(docs: DataFrame, most: int = 400_000) -> DataFrame:
+def word_counts(docs: DataFrame, most: int = 1_000_000) -> DataFrame:
     """(word, in_training, in_all) over `docs` (text, learnt); the empty word is the end of a text."""
     return docs.select("text", "learnt").mapInArrow(_count(most), COUNTS).groupBy("word").agg(
         F.sum("in_training").alias("in_training"), F.sum("in_all").alias("in_all"))
@@ -297,7 +352,7 @@ def vocabulary(counts: DataFrame, known: int, size: int) -> Words:
     order = 1 + np.argsort(-found[1:], kind="stable")
     order = order[found[order] > 0][:size - 1]
     size = len(order) + 1
-    model = np.full(len(words), size, dtype=np.int64)
+    model = np.full(len(words), size, dtype=np.int32)
     model[END] = END
     model[order] = np.arange(1, size)
     return Words(words, found, model, size, total, distinct)
@@ -306,23 +361,22 @@ def vocabulary(counts: DataFrame, known: int, size: int) -> Words:
 def _train(words, flat: np.ndarray, width: int, hidden: int, rate: float, passes: int, parts: int):
     def run(batches):
         vocab = words.value
-        places, size = vocab.places(), vocab.size
-        trainer = Trainer(Model(size, width, hidden, flat.value), rate)
+        trainer = Trainer(Model(vocab.size, width, hidden, flat.value), rate)
         buffer, held, seen = [], 0, 0
 
         def learn():
-            text = vocab.model_words(np.array(buffer, dtype=np.int64))
+            text = vocab.model_words(np.concatenate(buffer))
             for _ in range(passes):
                 trainer.learn(text)
             return len(text)
 
         for batch in batches:
-            for text in batch.column(0):
-                buffer.extend([places.get(w, -1) for w in words_of(text.as_py())])
-                buffer.append(END)
-                if len(buffer) >= trainer.lanes * trainer.lane_words:
+            for part in text_slices(batch, "text"):
+                buffer.append(vocab.find(*split_words(part.column(0))))
+                held += len(buffer[-1])
+                if held >= trainer.lanes * trainer.lane_words:
                     seen += learn()
-                    buffer = []
+                    buffer, held = [], 0
         if buffer:
             seen += learn()
         if seen:
@@ -374,51 +428,61 @@ def train(docs: DataFrame, words: Words, width: int = 48, hidden: int = 16, roun
 def _score(words, flat, width: int, hidden: int, buffer_words: int):
     def run(batches):
         vocab = words.value
-        places, size = vocab.places(), vocab.size
-        model = Model(size, width, hidden, flat.value)
+        model = Model(vocab.size, width, hidden, flat.value)
         log_counts, known = np.log10(vocab.counts + 1.0), vocab.counts > 0
         base, inner = np.log10(vocab.total + vocab.distinct + 1.0), np.log10(vocab.tail)
         key = TaskContext.get().partitionId() << 33
 
-        def written(rows):
+        def written(parts):
+            """The rows of some slices: (ids, held out, words, words per text) each."""
             nonlocal key
-            got = log_likelihoods(model, [r[3] for r in rows]) / np.log(10)
-            out = []
-            for (doc, held, at, ids, listed), score in zip(rows, got.tolist(), strict=True):
-                found, outside = at >= 0, ids == size
-                logs = log_counts[at]
-                out.append((key, doc, held, len(at), int(known[at[found]].sum()), float(logs[found].sum()) - len(at) * base,
-                            score + float(logs[found & outside].sum()) - int(outside.sum()) * inner, None, None))
-                out.extend((key, None, None, None, None, None, None, w, n) for w, n in listed.items())
-                key += 1
-            return record_batch(SCORED, {n: [r[i] for r in out] for i, n in enumerate(SCORED.names)})
-
-        rows, waiting = [], 0
+            held, flat_words = pa.concat_arrays([p[1] for p in parts]), pa.concat_arrays([p[2] for p in parts])
+            sizes = np.concatenate([p[3] for p in parts])
+            at = vocab.find(flat_words, sizes)
+            ends = np.cumsum(sizes + 1)
+            starts = ends - sizes - 1
+            ids = vocab.model_words(at)
+            likely = log_likelihoods(model, np.split(ids, ends[:-1])) / np.log(10)
+            found, outside = at >= 0, ids == vocab.size
+            logs = np.where(found, log_counts[at], 0.0)
+
+            def per_text(values):
+                return np.add.reduceat(values, starts)
+
+            rest = flat_words.filter(pa.array(np.delete(~found, ends - 1)))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_text((~found).astype(np.int64)))]), pa.int32()), rest)
+            n = len(sizes)
+            columns = {
+                "key": key + np.arange(n), "doc_id": pa.concat_arrays([p[0] for p in parts]), "held_out": held, "n_tokens": sizes + 1,
+                "n_known": per_text((found & known[at]).astype(np.int64)), "base": per_text(logs) - (sizes + 1) * base,
+                "score": likely + per_text(np.where(outside, logs, 0.0)) - per_text(outside.astype(np.int64)) * inner, "rest": lists}
+            key += n
+            types = to_arrow_schema(SCORED)
+            return pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c := columns[f.name], pa.Array) else pa.array(c, f.type) for f in types], schema=types)
+
+        parts, waiting = [], 0
         for batch in batches:
-            for doc, text, held in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                split = words_of(text.as_py())
-                at = [places.get(w, -1) for w in split]
-                listed = Counter(w for w, i in zip(split, at, strict=True) if i < 0)
-                at = np.array([*at, END], dtype=np.int64)
-                rows.append((doc, held, at, vocab.model_words(at), listed))
-                waiting += len(at)
+            for part in text_slices(batch, "text"):
+                flat_words, sizes = split_words(part.column(1))
+                parts.append((part.column(0), part.column(2), flat_words, sizes))
+                waiting += len(flat_words) + len(sizes)
                 if waiting >= buffer_words:
-                    yield written(rows)
-                    rows, waiting = [], 0
-        if rows:
-            yield written(rows)
+                    yield written(parts)
+                    parts, waiting = [], 0
+        if parts:
+            yield written(parts)
 
     return run
 
 
-def score_texts(docs: DataFrame, known_words: int = 1 << 17, model_words: int = 2304, width: int = 48, hidden: int = 16,
-                buffer_words: int = 1 << 20) -> DataFrame:
+def score_texts(docs: DataFrame, known_words: int = 1 << 18, model_words: int = 2304, width: int = 48, hidden: int = 16,
+                buffer_words: int = 1 << 21) -> DataFrame:
     """Per row of `docs` (doc_id, text, held_out) its log10-probability under the network and under the base model.
 
     Counts cover every text, and every text that isn't held out is learnt. The `known_words` most frequent words are
     broadcast with their counts (a fixed bound, some megabytes); all others are joined by word
-    with the whole table of counts, summed per text and word before the shuffle. Each of them has fewer than a
-    `known_words`-th of all words, held-out texts included, so no join key is hot. A task holds
+    with the whole table of counts. Each of them has fewer than a `known_words`-th of all words,
+    held-out texts included, so no join key is hot. A task holds
     `buffer_words` words at a time; a longer text is scored whole, by itself.
 
     Null texts are empty: one token, the end. Rows with a null id are held out. Repeated rows are scored each. With no
@@ -431,13 +495,12 @@ def score_texts(docs: DataFrame, known_words: int = 1 << 17, model_words: int =
     model = train(docs.where(~F.col("held_out")), words, width, hidden)
     shared, flat = spark.sparkContext.broadcast(words), spark.sparkContext.broadcast(model.flat)
     scored = materialize(docs.mapInArrow(_score(shared, flat, width, hidden, buffer_words), SCORED), "recurrent-scores")
-    rest = scored.where(F.col("word").isNotNull()).select("key", "word", "times")
+    rest = scored.select("key", F.explode("rest").alias("word"))
     found = rest.join(counts.where("in_training > 0").select("word", "in_training"), "word", "left")
     added = found.groupBy("key").agg(
-        F.sum(F.col("times") * F.log10(F.coalesce("in_training", F.lit(0)) + 1)).alias("_logs"),
-        F.sum(F.when(F.col("in_training") > 0, F.col("times")).otherwise(0)).alias("_known"))
+        F.sum(F.log10(F.coalesce("in_training", F.lit(0)) + 1)).alias("_logs"), F.count("in_training").alias("_known"))
     logs = F.coalesce("_logs", F.lit(0.0))
-    return scored.where(F.col("word").isNull()).join(added, "key", "left").select(
+    return scored.drop("rest").join(added, "key", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
         F.lit(words.total).cast("long").alias("train_tokens"), (F.col("base") + logs).alias("base_score"), (F.col("score") + logs).alias("score"))
 
