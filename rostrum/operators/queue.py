@@ -204,6 +204,12 @@ def apply_scores(
     return new_analysis, new_speeches
 
 
+def rescored(responses: DataFrame) -> DataFrame:
+    """D6, the speeches' side, as a change (see `sinks.deltas`): the ids with a usable new result, whose sync time is cleared."""
+    usable = responses.where(scoring.parse_result(F.col("response")).isNotNull())
+    return usable.select(F.col("speech_id").alias("id")).distinct().withColumn("synced_at", F.lit(None).cast("timestamp_ntz"))
+
+
 def keyword_counts(analysis: DataFrame) -> DataFrame:
     """Keyword mentions by category."""
     return (

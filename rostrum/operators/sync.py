@@ -59,6 +59,11 @@ def mark_synced(df: DataFrame, ids: DataFrame, key: str, now: Column) -> DataFra
     ])
 
 
+def synced_rows(ids: DataFrame, key: str, now: Column) -> DataFrame:
+    """D9 as a change (see `sinks.deltas`): the keys and their sync time, once each."""
+    return ids.select(key).distinct().select(key, now.alias("synced_at"))
+
+
 def reset_synced(df: DataFrame) -> DataFrame:
     """Everything syncs again."""
     return df.withColumn("synced_at", F.lit(None).cast("timestamp_ntz"))

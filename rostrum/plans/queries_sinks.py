@@ -1,13 +1,15 @@
 """Sinks, sync state and migrations."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from rostrum.operators import migrate, sync
+from rostrum.operators import migrate, queue, sync
 from rostrum.operators.common import as_time
-from rostrum.plans.registry import query
+from rostrum.plans.registry import SQL, query
 from rostrum.plans.views import NOW_O
 from rostrum.session import work_folder
-from rostrum.sinks import casts, tables, upsert
+from rostrum.sinks import casts, deltas, manifest, tables, upsert
 
 STAMP = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
 
@@ -234,14 +236,69 @@ def _seconds():
     return duration_seconds(F.col("started_at"), F.col("finished_at"))
 
 
-@query("""
-    SELECT 'members' AS name, count(*) AS n FROM members_o UNION ALL SELECT 'analysis', count(*) FROM analysis_o""")
+SNAPSHOT_SQL = f"""
+    SELECT 'members' AS tab, CAST(id AS VARCHAR) AS row_key, concat_ws('|', bank_code, name, role, status, CAST(last_speech_date AS VARCHAR)) AS content FROM members_o
+    UNION ALL SELECT 'analysis', CAST(speech_id AS VARCHAR), concat_ws('|', analysis_status, CAST(analysis_attempts AS VARCHAR), keywords) FROM analysis_o
+    UNION ALL SELECT 'speeches', CAST(id AS VARCHAR), concat_ws('|', bank_code, CAST(speaker_id AS VARCHAR), title, CAST(date AS VARCHAR), url) FROM speeches_o
+    UNION ALL SELECT 'stage_runs', CAST(id AS VARCHAR), concat_ws('|', run_id, stage_name, status, CAST(item_count AS VARCHAR)) FROM runlog_e"""
+
+
+@query(SNAPSHOT_SQL)
 def export_snapshot(v):
+    """All four tables at one version; a later version that its writer did not finish is not read."""
     root = work_folder(v.spark, "snapshot")
-    paths = tables.export_snapshot({"members": v.members_o, "analysis": v.analysis_o}, root, "2001-08-01")
+    store = {"members": v.members_o, "analysis": v.analysis_o, "speeches": v.speeches_o.drop("full_text"), "stage_runs": v.runlog_e}
+    tables.export_snapshot(store, root, 20010801)
+    manifest.write_part(v.members_o.limit(0), root)  # a writer that dies before it publishes
+    back = tables.read_snapshot(v.spark, root)
+    shown = {
+        "members": ("id", ("bank_code", "name", "role", "status", "last_speech_date")),
+        "analysis": ("speech_id", ("analysis_status", "analysis_attempts", "keywords")),
+        "speeches": ("id", ("bank_code", "speaker_id", "title", "date", "url")),
+        "stage_runs": ("id", ("run_id", "stage_name", "status", "item_count")),
+    }
     rows = [
-        v.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
-        for name, path in zip(("members", "analysis"), paths)
-    ]
-    return rows[0].unionByName(rows[1])
+        back[name].select(
+            F.lit(name).alias("tab"), F.col(key).cast("string").alias("row_key"),
+            F.concat_ws("|", *[F.col(c).cast("string") for c in columns]).alias("content"))
+        for name, (key, columns) in shown.items()]
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
 
+@query(SQL["upsert_by_key"])
+def upsert_merge_on_read(v):
+    """S10 as a change file beside the table: nothing but the incoming rows is written."""
+    root = work_folder(v.spark, "members")
+    keys = upsert.default_keys(v.members_o.columns, "members")
+    deltas.create(v.members_o, root)
+    deltas.upsert(_incoming(v), root, keys)
+    return deltas.read(v.spark, root, keys).select("id", "bank_code", "name", "role", "status", "last_speech_date")
+
+
+@query(SQL["mark_synced"])
+def mark_synced_merge_on_read(v):
+    """D9 as a change file of ids and times; the speeches are not written again."""
+    root = work_folder(v.spark, "speeches")
+    deltas.create(v.speeches_o, root)
+    deltas.write_change(sync.synced_rows(v.speeches_o.where("id % 2 = 0"), "id", as_time(NOW_O)), root, ["id"])
+    out = deltas.read(v.spark, root, ["id"])
+    return out.select("id", F.col("synced_at").isNotNull().alias("synced"), F.col("synced_at").alias("last"))
+
+
+@query("""
+    SELECT id, CASE WHEN id % 4 = 0 THEN 1 ELSE 0 END AS rescored,
+      CAST(synced_at IS NOT NULL AND id % 4 <> 0 AS BIGINT) AS synced, CAST(id % 5 AS BIGINT) AS attempts FROM (
+      SELECT s.id, s.synced_at FROM speeches_o s JOIN analysis_o a ON s.id = a.speech_id)""")
+def apply_scores_merge_on_read(v):
+    """D6 as two change files, and compaction: a speech with a new result syncs again; all others keep their time."""
+    root = work_folder(v.spark, "speeches")
+    wide = v.speeches_o.join(v.analysis_o.select(F.col("speech_id").alias("id")), "id", "left_semi").withColumn(
+        "attempts", F.lit(0).cast("long"))
+    deltas.create(wide, root)
+    responses = wide.select(F.col("id").alias("speech_id"), F.when(F.col("id") % 4 == 0, F.lit(
+        '{"stance_score": 0.5, "stance_reason": "r", "keywords": []}')).otherwise("no answer").alias("response"))
+    deltas.write_change(queue.rescored(responses), root, ["id"])
+    deltas.write_change(wide.select("id", (F.col("id") % 5).alias("attempts")), root, ["id"])
+    deltas.compact(v.spark, root, ["id"])
+    return deltas.read(v.spark, root, ["id"]).select(
+        "id", (F.col("id") % 4 == 0).alias("rescored"), F.col("synced_at").isNotNull().alias("synced"), "attempts")

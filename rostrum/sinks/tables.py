@@ -5,30 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rostrum.sinks import manifest
+
+TABLE = "table"
 SUMMARY_COLUMNS = (
     "run_id", "started_at", "status", "duration_sec", "total_new", "total_refreshed", "analyzed_items",
     "synced_items", "failed_steps",
 )
 
 
-def replace_table(df: DataFrame, root: str, version: int, partition_by: tuple[str, ...] = ()) -> str:
+def replace_table(df: DataFrame, root: str, version: int) -> None:
     """Publish a full rebuild as a new version below `root`.
 
     Readers keep the version they started with, a lost executor only repeats tasks, and a
-    job may read the version before the one it writes. A retry overwrites its own version
-    and nothing else.
+    job may read the version before the one it writes. A retry replaces its own version
+    and nothing else; what a writer that died has left is never read.
     """
-    path = f"{root}/version={version}"
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return path
+    manifest.publish_tables({TABLE: df}, root, version)
 
 
-def read_latest(spark: SparkSession, root: str) -> DataFrame:
-    """The newest published version; older ones are pruned as partitions."""
-    table = spark.read.parquet(root)
-    newest = table.agg(F.max("version").alias("v")).scalar()
-    return table.where(F.col("version") == newest).drop("version")
+def read_latest(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
+    """The newest published version (below `before`)."""
+    return manifest.tables_of(spark, root, before=before)[TABLE].read(spark)
 
 
 def append_summary(summary: DataFrame, path: str) -> None:
@@ -44,14 +42,14 @@ def append_summary(summary: DataFrame, path: str) -> None:
     rows.write.mode("append").partitionBy("month").option("header", True).csv(path)
 
 
-def export_snapshot(tables: dict[str, DataFrame], root: str, as_of: str) -> list[str]:
-    """Every table under a dated folder."""
-    paths = []
-    for name, df in tables.items():
-        path = f"{root}/snapshot={as_of}/{name}"
-        df.write.mode("errorifexists").parquet(path)
-        paths.append(path)
-    return paths
+def export_snapshot(tables: dict[str, DataFrame], root: str, version: int) -> None:
+    """The whole store, every table as it is now, as one version below `root`."""
+    manifest.publish_tables(tables, root, version)
+
+
+def read_snapshot(spark: SparkSession, root: str, version: int | None = None) -> dict[str, DataFrame]:
+    """All tables of one version, the newest without one given."""
+    return {name: table.read(spark) for name, table in manifest.tables_of(spark, root, version).items()}
 
 
 def write_log(df: DataFrame, line: Column, path: str) -> None:
