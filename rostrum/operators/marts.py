@@ -76,22 +76,23 @@ def daily_activity(events: DataFrame) -> DataFrame:
     )
 
 
-def _carry(days: DataFrame, as_of: str | dt.date) -> DataFrame:
-    """W1-W4 from days with activity to every day.
+def _carry(days: DataFrame, end: Column, *group: str) -> DataFrame:
+    """W1-W4 from days with activity to every day up to `end`.
 
     `days` has one row per bank and active day with `level` and `scored_on` (both null
     where nothing was scored). Each row is stretched to the day before the next active
     day, so the calendar, the carried level and the carried date come out of one window
     over active days, without building a spine and joining onto it. The window group of a
-    bank is bounded by the number of calendar days, however many speeches it has.
+    bank (or of a segment of one, named by the columns of `group`) is bounded by the number of
+    calendar days, however many speeches it has.
     """
-    by_date = Window.partitionBy("bank_code").orderBy("date")
+    by_date = Window.partitionBy("bank_code", *group).orderBy("date")
     upto = by_date.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     spans = days.select(
         "*",
         F.last("level", ignorenulls=True).over(upto).alias("stance_level_locf"),
         F.max("scored_on").over(upto).alias("last_scored_speech_date"),
-        F.coalesce(F.date_sub(F.lead("date").over(by_date), 1), as_date(as_of)).alias("until"),
+        F.coalesce(F.date_sub(F.lead("date").over(by_date), 1), end).alias("until"),
     )
     return spans.withColumn("day", F.explode(F.expr("sequence(date, until, interval 1 day)")))
 
@@ -162,7 +163,7 @@ def daily_mart(
 
     Two shuffles, both after partial aggregation: by (bank, day), then by bank.
     """
-    return _finish_daily(_carry(_active_days(events, as_of), as_of), as_of, half_life_days, fresh_days, updated_at)
+    return _finish_daily(_carry(_active_days(events, as_of), as_date(as_of)), as_of, half_life_days, fresh_days, updated_at)
 
 
 def recompute_daily(
@@ -183,7 +184,9 @@ def recompute_daily(
     """
     next_day = F.date_add(as_date(previous_as_of), 1)
     changed = late.where(F.col("date").isNotNull()).groupBy("bank_code").agg(F.min("date").alias("changed_from"))
-    known = previous.select("bank_code").distinct()
+    # A bank whose first event is one of the new days has no row yet.
+    begun = events.where(F.col("bank_code").isNotNull() & F.col("date").between(next_day, as_date(as_of))).select("bank_code")
+    known = previous.select("bank_code").unionByName(begun).distinct()
     start = known.join(changed, "bank_code", "full_outer").select(
         "bank_code", F.least(F.coalesce("changed_from", next_day), next_day).alias("start")
     )
@@ -204,12 +207,73 @@ def recompute_daily(
         _active_days(events.where(F.col("date") >= earliest), as_of).join(start, "bank_code").where(F.col("date") >= F.col("start")).drop("start")
         .withColumn("is_seed", F.lit(False))
     )
-    spans = _carry(seed.unionByName(tail), as_of)
+    spans = _carry(seed.unionByName(tail), as_date(as_of))
     spans = spans.where(~(F.col("is_seed") & (F.col("day") == F.col("date"))))
     rebuilt = _finish_daily(spans, as_of, half_life_days, fresh_days, updated_at)
     return kept.unionByName(rebuilt)
 
 
+def part_of(bank: Column, date: Column, period: str = "month") -> Column:
+    """The part of the stored daily mart that a bank's day belongs to."""
+    return F.concat_ws("|", bank, F.trunc(date, period).cast("string"))
+
+
+def changed_segments(events: DataFrame, late: DataFrame, previous_as_of: str | dt.date, as_of: str | dt.date) -> DataFrame:
+    """(bank_code, first, last): the days whose row can differ after changes at `late` (bank_code, date).
+
+    A change at a day reaches to the day before the bank's next scored one, from which on the level is that day's
+    own. One window over a bank's days; days up to `as_of` that the previous build did not have follow its last.
+    """
+    changed = late.where(F.col("date").isNotNull() & F.col("bank_code").isNotNull() & (F.col("date") <= as_date(as_of))).select(
+        "bank_code", "date", F.lit(True).alias("_changed"), F.lit(False).alias("_scored"))
+    if str(previous_as_of)[:10] < str(as_of)[:10]:
+        banks = events.where(F.col("bank_code").isNotNull()).select("bank_code").distinct()
+        changed = changed.unionByName(banks.select(
+            "bank_code", F.date_add(as_date(previous_as_of), 1).alias("date"), F.lit(True).alias("_changed"), F.lit(False).alias("_scored")))
+    scored = events.where(is_scored() & F.col("bank_code").isNotNull() & F.col("date").isNotNull()).select(
+        "bank_code", "date", F.lit(False).alias("_changed"), F.lit(True).alias("_scored"))
+    days = changed.unionByName(scored).groupBy("bank_code", "date").agg(F.max("_changed").alias("_changed"), F.max("_scored").alias("_scored"))
+    behind = Window.partitionBy("bank_code").orderBy("date").rowsBetween(1, Window.unboundedFollowing)
+    until = F.date_sub(F.min(F.when(F.col("_scored"), F.col("date"))).over(behind), 1)
+    return days.withColumn("last", F.least(F.coalesce(until, as_date(as_of)), as_date(as_of))).where("_changed").select(
+        "bank_code", F.col("date").alias("first"), F.greatest("date", "last").alias("last"))
+
+
+def touched_parts(segments: DataFrame, as_of: str | dt.date, period: str = "month") -> DataFrame:
+    """The parts that segments meet, neighbouring ones of a bank as one run: (bank_code, part, run_first, run_last)."""
+    step = F.expr(f"interval 1 {period}")
+    parts = segments.select("bank_code", F.explode(F.sequence(F.trunc("first", period), F.trunc("last", period), step)).alias("begin")).distinct()
+    by_begin = Window.partitionBy("bank_code").orderBy("begin")
+    fresh = F.coalesce(F.lag("begin").over(by_begin) + step != F.col("begin"), F.lit(True))
+    runs = parts.withColumn("_run", F.sum(fresh.cast("int")).over(by_begin))
+    whole = Window.partitionBy("bank_code", "_run")
+    return runs.select(
+        "bank_code", part_of(F.col("bank_code"), F.col("begin"), period).alias("part"), F.min("begin").over(whole).alias("run_first"),
+        F.least(F.date_sub((F.max("begin").over(whole) + step).cast("date"), 1), as_date(as_of)).alias("run_last"))
+
+
+def recompute_parts(
+    seeds: DataFrame, events: DataFrame, touched: DataFrame, as_of: str | dt.date, half_life_days: int = HALF_LIFE_DAYS,
+    fresh_days: int = FRESH_DAYS, updated_at: Column | None = None,
+) -> DataFrame:
+    """The daily mart of the `touched` parts alone, as a full rebuild would have it.
+
+    `seeds` has the stored rows of the days before the runs of touched parts; their level and
+    last scored date are carried into the run. Events before the first run are not read.
+    """
+    runs = touched.select("bank_code", "run_first", "run_last").distinct()
+    zero = F.lit(0).cast("long")
+    seed = seeds.join(runs, "bank_code").where(F.col("date") == F.date_sub("run_first", 1)).select(
+        "bank_code", "run_first", "run_last", "date", zero.alias("daily_total_speech_count"),
+        F.lit(None).cast("double").alias("daily_stance_score"), zero.alias("daily_scored_speech_count"),
+        F.col("stance_level_locf").alias("level"), F.col("last_scored_speech_date").alias("scored_on"))
+    earliest = runs.agg(F.min("run_first").alias("s")).scalar()
+    days = _active_days(events.where(F.col("date") >= earliest), as_of).join(runs, "bank_code").where(
+        F.col("date").between(F.col("run_first"), F.col("run_last")))
+    spans = _carry(seed.unionByName(days), F.col("run_last"), "run_first").where(F.col("day") >= F.col("run_first"))
+    return _finish_daily(spans, as_of, half_life_days, fresh_days, updated_at)
+
+
 def plot_mart(daily: DataFrame, events: DataFrame) -> DataFrame:
     """Lines (one per daily row) and bars (one per scored event) in one table."""
     def null(kind: str) -> Column:

@@ -7,8 +7,8 @@ from rostrum.plans.queries_ingest import NORM
 from rostrum.plans.queries_runlog import STATUS_SQL
 from rostrum.plans.registry import query
 from rostrum.plans.views import AS_OF_O, NOW_D
-from rostrum.session import work_folder
-from rostrum.sinks.tables import read_latest, replace_table
+from rostrum.session import materialize, work_folder
+from rostrum.sinks.tables import read_latest
 
 EVENTS = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -44,12 +44,13 @@ def incremental_dedupe(v):
     from rostrum.streaming.ingest import create_roots, ingest_stream, stored_speeches
 
     source = work_folder(v.spark, "arrivals")
-    arrivals = v.candidates_p.coalesce(1)
+    arrivals = materialize(v.candidates_p, "arrival")
     arrivals.write.mode("append").parquet(source)
+    files = len(v.spark.read.parquet(source).inputFiles())  # a batch is one arrival, read by as many tasks as it has files
     arrivals.write.mode("append").parquet(source)
     speeches, members = work_folder(v.spark, "speeches"), work_folder(v.spark, "members")
     create_roots(v.spark, speeches, members)
-    stream = v.spark.readStream.schema(arrivals.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    stream = v.spark.readStream.schema(arrivals.schema).option("maxFilesPerTrigger", max(1, files)).parquet(source)
     ingest_stream(stream, speeches, members, work_folder(v.spark, "ingest-checkpoint"), NOW_D).awaitTermination()
     return stored_speeches(v.spark, speeches).select("bank_code", normalize_url(F.col("url")).alias("norm"))
 
@@ -60,14 +61,14 @@ def incremental_dedupe(v):
 def late_recompute_stream(v):
     """T3 fed by a stream of late scores; equals a full rebuild."""
     from rostrum.operators import marts
-    from rostrum.streaming.late import late_stream
+    from rostrum.streaming.late import late_stream, publish_daily
 
     is_late = (F.col("speech_id") % 7 == 0) & (F.col("date") > "2001-03-01")
     root, source = work_folder(v.spark, "daily"), work_folder(v.spark, "late")
-    replace_table(marts.daily_mart(v.events_at_rest.where(~is_late), AS_OF_O), root, 0)
+    publish_daily(marts.daily_mart(v.events_at_rest.where(~is_late), AS_OF_O), root, 0, "year")
     late = v.events_at_rest.where(is_late).select("bank_code", "date")
-    late.coalesce(1).write.parquet(source)
+    late.write.parquet(source)
     stream = v.spark.readStream.schema(late.schema).parquet(source)
-    late_stream(stream, lambda: v.events_at_rest, root, work_folder(v.spark, "late-checkpoint"), AS_OF_O).awaitTermination()
+    late_stream(stream, lambda: v.events_at_rest, root, work_folder(v.spark, "late-checkpoint"), AS_OF_O, "year").awaitTermination()
     return read_latest(v.spark, root).select("bank_code", "date", "stance_level_locf", "daily_total_speech_count")
 

@@ -5,9 +5,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from rostrum.operators import marts
-from rostrum.sinks.tables import read_latest, replace_table
+from rostrum.sinks.tables import read_latest
 from rostrum.streaming.ingest import create_roots, ingest_stream, stored_speeches
-from rostrum.streaming.late import late_stream
+from rostrum.streaming.late import late_stream, publish_daily
 from rostrum.streaming.status import publish_status, status_event_stream
 
 CANDIDATE = "bank_code string, position long, title string, date date, url string, speaker string, full_text string, speech_type string"
@@ -52,10 +52,10 @@ def test_late_scores(spark, frame, tmp_path):
     late = [(3, "A", dt.date(2024, 1, 5), "scored", 1.0), (4, "A", dt.date(2023, 12, 30), "no_signal", None)]
     everything = frame(schema, *first, *late)
     root, source = str(tmp_path / "daily"), str(tmp_path / "late")
-    replace_table(marts.daily_mart(frame(schema, *first), "2024-01-10"), root, 0)
+    publish_daily(marts.daily_mart(frame(schema, *first), "2024-01-10"), root, 0)
     frame(schema, *late).select("bank_code", "date").write.parquet(source)
     stream = spark.readStream.schema("bank_code string, date date").parquet(source)
     late_stream(stream, lambda: everything, root, str(tmp_path / "cp"), "2024-01-10").awaitTermination()
-    got = sorted(tuple(r) for r in read_latest(spark, root).drop("updated_at").collect())
-    want = sorted(tuple(r) for r in marts.daily_mart(everything, "2024-01-10").drop("updated_at").collect())
+    got = sorted((tuple(r) for r in read_latest(spark, root).drop("updated_at").collect()), key=str)
+    want = sorted((tuple(r) for r in marts.daily_mart(everything, "2024-01-10").drop("updated_at").collect()), key=str)
     assert [str(r) for r in got] == [str(r) for r in want]
