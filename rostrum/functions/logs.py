@@ -34,7 +34,7 @@ JOBS = (
 # Counters shown for a job, by kind.
 COUNTERS = (
     "new_items", "refreshed_items", "total_new", "total_refreshed", "analyzed_items",
-    "synced_items", "source_synced_items", "mart_events_rows", "mart_daily_rows", "mart_plot_rows",
+    "synced_items", "source_synced_items", "tableau_mart_items", "mart_events_rows", "mart_daily_rows", "mart_plot_rows",
 )
 
 SEVERITY = {"failed": 4, "partial": 3, "running": 2, "success": 1, "skipped": 0, "idle": 0}

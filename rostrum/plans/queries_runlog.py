@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from rostrum.functions import logs
 from rostrum.operators import runlog
-from rostrum.plans.registry import query
-from rostrum.session import materialize
+from rostrum.plans.registry import SQL, query
+from rostrum.session import materialize, work_folder
+from rostrum.sinks import logstore
 from rostrum.sources.runlogs import parse_log
 
 STAMP = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
@@ -17,6 +18,11 @@ def _lines(v):
     return materialize(parse_log(v.log_lines_e), "log-lines")
 
 
+def _rough_runs(v):
+    """The same lines, of which some have no status, some no readable time, and some further counters."""
+    return materialize(runlog.split_runs(materialize(parse_log(v.rough_lines_e), "rough-lines")), "rough-runs")
+
+
 def _runs(v):
     """Lines with their run, at rest too: job analytics read them several times."""
     return materialize(runlog.split_runs(_lines(v)), "log-runs")
@@ -81,6 +87,24 @@ def log_search(v):
     return runlog.search_lines(_lines(v), "INFO", " COLLECT_ECB ").select("seq")
 
 
+def _stored(v):
+    root = work_folder(v.spark, "log-store")
+    logstore.store_log(parse_log(v.log_lines_e), root)
+    return root
+
+
+@query(SQL["issue_filter"])
+def issue_filter_stored(v):
+    """P17 over stored lines: the folders of other levels are not opened."""
+    return logstore.stored_issues(v.spark, _stored(v)).select("seq", "level")
+
+
+@query(SQL["log_search"])
+def log_search_stored(v):
+    """P18 over stored lines: only folders that hold every gram of the keyword are opened."""
+    return logstore.search_stored(v.spark, _stored(v), "INFO", " COLLECT_ECB ").select("seq")
+
+
 @query(f"""
     SELECT source, run_no, arg_min({TS_TEXT}, event_id) AS first_ts, arg_min(message, event_id) AS first_message,
       arg_max({TS_TEXT}, event_id) AS last_ts, arg_max(message, event_id) AS last_message
@@ -108,6 +132,66 @@ def job_detail(v):
     return runlog.jobs(_runs(v)).select("source", "run_no", "job", "new_items", "synced_items")
 
 
+@query(f"""
+    SELECT source, run_no, job, {JOB_CASE} AS stage, {STAMP.format('start_ts')} AS start_ts, {STAMP.format('end_ts')} AS end_ts,
+      CASE WHEN reported IS NULL THEN CASE WHEN errors THEN 'failed' WHEN warnings THEN 'warning' ELSE 'success' END
+        WHEN reported = 'partial' THEN 'warning' WHEN reported = 'fail' THEN 'failed' ELSE reported END AS status, job_events
+    FROM rough_jobs_e JOIN (SELECT source, run_no, job, bool_or(level = 'ERROR') AS errors, bool_or(level = 'WARNING') AS warnings
+      FROM rough_spans_e GROUP BY 1, 2, 3) USING (source, run_no, job)""")
+def job_status_inferred(v):
+    """W12 and X31 on lines without status and without readable times."""
+    return runlog.jobs(_rough_runs(v)).select("source", "run_no", "job", "stage", "start_ts", "end_ts", "status", "job_events")
+
+
+@query("""
+    SELECT event_id AS seq, source, run_no, job, level FROM rough_spans_e WHERE level IN ('WARNING', 'ERROR', 'EXCEPTION')""")
+def issues_in_open_spans(v):
+    """J14 with open ends: starts and ends without a readable time."""
+    runs = _rough_runs(v)
+    return runlog.issues_in_jobs(runs, runlog.jobs(runs)).select("seq", "source", "run_no", "job", "level")
+
+
+@query("""
+    SELECT source, run_no, job, count(*) AS events, count(*) FILTER (WHERE level IN ('WARNING', 'ERROR', 'EXCEPTION')) AS issues
+    FROM rough_spans_e GROUP BY 1, 2, 3""")
+def job_counts_open_spans(v):
+    """A17 with open ends; a job whose span is empty has its own lines."""
+    runs = _rough_runs(v)
+    return runlog.job_counts(runs, runlog.jobs(runs))
+
+
+@query("""
+    SELECT source, run_no, job, new_items, synced_items, source_synced_items, tableau_mart_items, mart_daily_rows FROM rough_jobs_e""")
+def job_counters(v):
+    """The counters of a job's deciding line."""
+    return runlog.jobs(_rough_runs(v)).select(
+        "source", "run_no", "job", "new_items", "synced_items", "source_synced_items", "tableau_mart_items", "mart_daily_rows")
+
+
+@query(f"""
+    SELECT source, run_no, 'finish' AS stage, {STAMP.format('finish.ts')} AS end_ts,
+      CASE WHEN finish.status = 'partial' THEN 'warning' WHEN finish.status = 'fail' THEN 'failed' WHEN finish.status IS NOT NULL THEN finish.status
+        WHEN errors THEN 'failed' WHEN finish IS NOT NULL THEN 'success' ELSE 'unknown' END AS status,
+      round(coalesce(finish.value, 0), 6) AS duration, CAST(finish.k AS BIGINT) AS total_new,
+      CAST(finish.k + 1 AS BIGINT) AS source_synced_items, CAST(finish.k + 2 AS BIGINT) AS tableau_mart_items
+    FROM (SELECT source, run_no, bool_or(level = 'ERROR') AS errors,
+      arg_max({{'ts': ts, 'k': k, 'value': value, 'status': status}}, event_id) FILTER (WHERE message = 'Finished sync run') AS finish
+      FROM rough_runs_e GROUP BY 1, 2)""")
+def finish_row(v):
+    """The closing row of each run."""
+    return runlog.finish_rows(_rough_runs(v)).select(
+        "source", "run_no", "stage", "end_ts", "status", "duration", "total_new", "source_synced_items", "tableau_mart_items")
+
+
+@query("""
+    SELECT source, run_no, CAST(arg_max(k + 1, event_id) FILTER (WHERE message = 'Finished sync run') AS BIGINT) AS source_synced_items,
+      CAST(arg_max(k + 2, event_id) FILTER (WHERE message = 'Finished sync run') AS BIGINT) AS tableau_mart_items
+    FROM rough_runs_e GROUP BY 1, 2""")
+def run_counters(v):
+    """The two counters of a run's finish that the plain log does not have."""
+    return runlog.run_summary(_rough_runs(v)).select("source", "run_no", "source_synced_items", "tableau_mart_items")
+
+
 @query(f"SELECT DISTINCT job, {JOB_CASE} AS stage, {LABEL_CASE} AS label FROM log_jobs_e")
 def stage_of_job(v):
     names = v.log_fields_e.select(F.col("job_name").alias("job")).distinct()
@@ -116,17 +200,19 @@ def stage_of_job(v):
 
 @query("""
     SELECT r.event_id AS seq, r.source, r.run_no, j.job, r.level FROM log_runs_e r JOIN log_jobs_e j
-      ON r.source = j.source AND r.run_no = j.run_no AND r.ts BETWEEN j.start_ts AND j.end_ts
+      ON r.source = j.source AND r.run_no = j.run_no AND (r.ts BETWEEN j.start_ts AND j.end_ts
+        OR (j.start_ts > j.end_ts AND r.message = 'Pipeline job status' AND r.job_name = j.job))
     WHERE r.level IN ('WARNING', 'ERROR', 'EXCEPTION')""")
 def issues_in_job(v):
     runs = _runs(v)
-    return runlog.events_in_jobs(runlog.issues(runs), runlog.jobs(runs)).select("seq", "source", "run_no", "job", "level")
+    return runlog.issues_in_jobs(runs, runlog.jobs(runs)).select("seq", "source", "run_no", "job", "level")
 
 
 @query("""
     SELECT j.source, j.run_no, j.job, count(*) AS events,
       count(*) FILTER (WHERE r.level IN ('WARNING', 'ERROR', 'EXCEPTION')) AS issues
-    FROM log_runs_e r JOIN log_jobs_e j ON r.source = j.source AND r.run_no = j.run_no AND r.ts BETWEEN j.start_ts AND j.end_ts
+    FROM log_runs_e r JOIN log_jobs_e j ON r.source = j.source AND r.run_no = j.run_no AND (r.ts BETWEEN j.start_ts AND j.end_ts
+      OR (j.start_ts > j.end_ts AND r.message = 'Pipeline job status' AND r.job_name = j.job))
     GROUP BY 1, 2, 3""")
 def job_counts(v):
     runs = _runs(v)
@@ -164,7 +250,8 @@ RUN_SQL = """
         WHEN finish_status = 'partial' THEN 'warning' WHEN finish_status = 'fail' THEN 'failed' ELSE finish_status END AS status,
       round(coalesce(finish_value, (epoch_us(last_ts) - epoch_us(first_ts)) / 1000000.0), 6) AS duration, events,
       CAST(finish_k AS BIGINT) AS total_new, CAST(NULL AS BIGINT) AS total_refreshed, CAST(finish_k % 5 AS BIGINT) AS analyzed_items,
-      CAST(NULL AS BIGINT) AS synced_items, CAST(NULL AS VARCHAR) AS failed_steps FROM ({RUN_SQL})""")
+      CAST(NULL AS BIGINT) AS synced_items, CAST(NULL AS BIGINT) AS source_synced_items, CAST(NULL AS BIGINT) AS tableau_mart_items,
+      CAST(NULL AS VARCHAR) AS failed_steps FROM ({RUN_SQL})""")
 def run_summary(v):
     return runlog.run_summary(_runs(v))
 

@@ -251,6 +251,27 @@ class Views:
         )
         return self.log_fields_e.select("source", "block", "seq", line.alias("value"))
 
+    @cached_property
+    def rough_lines_e(self) -> DataFrame:
+        """Log lines as they also occur: a quarter has no readable time, a fifth of the reports no status."""
+        rows = self.log_fields_e.selectExpr(
+            "*", "CASE WHEN event_id % 5 <> 0 THEN status END AS given", "event_type IN ('view', 'purchase') AS told")
+        pairs = [
+            ("run_id", "event_type IN ('signup', 'purchase')", "concat('R', event_id)"),
+            ("job_name", "event_type IN ('click', 'view')", "job_name"),
+            ("status", "event_type IN ('click', 'view', 'purchase')", "given"),
+            ("duration_sec", "told", "cast(value AS string)"), ("new_items", "event_type = 'view'", "cast(k AS string)"),
+            ("total_new", "event_type = 'purchase'", "cast(k AS string)"), ("synced_items", "told AND k % 2 = 0", "cast(k AS string)"),
+            ("source_synced_items", "told", "cast(k + 1 AS string)"), ("tableau_mart_items", "told", "cast(k + 2 AS string)"),
+            ("mart_daily_rows", "event_type = 'view'", "cast(k + 3 AS string)"),
+        ]
+        extra = F.expr("filter(array(" + ", ".join(
+            f"named_struct('key', '{name}', 'value', CASE WHEN {when} THEN {value} END)" for name, when, value in pairs)
+            + "), e -> e.value IS NOT NULL)")
+        ts = F.when(F.col("event_id") % 4 != 1, F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSS")).otherwise("soon")
+        line = logs.format_line(ts, F.col("level"), F.lit("rostrum"), F.col("message"), extra)
+        return rows.select("source", "block", "seq", line.alias("value"))
+
     @cached_property
     def dated_d(self) -> DataFrame:
         """Documents with a rough date, a dated first line and an archive link."""
@@ -441,6 +462,37 @@ SQL_VIEWS: dict[str, str] = {
             FROM (SELECT *, {'ts': ts, 'k': k, 'value': value, 'status': status, 'event_type': event_type} AS e
               FROM log_runs_e WHERE message = 'Pipeline job status')
             GROUP BY 1, 2, 3))""",
+    "rough_runs_e": """
+        SELECT * FROM (
+          SELECT *, min(CASE WHEN message = 'Finished sync run' THEN event_id END) OVER (PARTITION BY source, run_no) AS run_end,
+            max(run_no) OVER (PARTITION BY source) AS last_run
+          FROM (SELECT event_id, source, level, message, event_type, job_name, k, value, CASE WHEN event_id % 4 <> 1 THEN ts END AS ts,
+              CASE WHEN event_id % 5 <> 0 THEN status END AS status,
+              CAST(count(CASE WHEN message = 'Starting sync run' THEN 1 END) OVER (
+                PARTITION BY source ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS run_no
+            FROM log_fields_e))
+        WHERE (run_no > 0 AND (run_end IS NULL OR event_id <= run_end)) OR last_run = 0""",
+    "rough_jobs_e": """
+        SELECT source, run_no, job_name AS job, start.ts AS start_ts, final.ts AS end_ts, final.status AS reported, job_events,
+          CASE WHEN final.event_type = 'view' THEN CAST(final.k AS BIGINT) END AS new_items,
+          CASE WHEN final.event_type = 'view' AND final.k % 2 = 0 THEN CAST(final.k AS BIGINT) END AS synced_items,
+          CASE WHEN final.event_type = 'view' THEN CAST(final.k + 1 AS BIGINT) END AS source_synced_items,
+          CASE WHEN final.event_type = 'view' THEN CAST(final.k + 2 AS BIGINT) END AS tableau_mart_items,
+          CASE WHEN final.event_type = 'view' THEN CAST(final.k + 3 AS BIGINT) END AS mart_daily_rows
+        FROM (SELECT source, run_no, job_name, coalesce(running, first) AS start, coalesce(done, running, first) AS final, job_events
+          FROM (SELECT source, run_no, job_name, count(*) AS job_events,
+              arg_min(e, event_id) FILTER (WHERE status = 'running') AS running, arg_min(e, event_id) AS first,
+              arg_max(e, event_id) FILTER (WHERE coalesce(status, '') <> 'running') AS done
+            FROM (SELECT *, {'ts': ts, 'k': k, 'status': status, 'event_type': event_type} AS e
+              FROM rough_runs_e WHERE message = 'Pipeline job status')
+            GROUP BY 1, 2, 3))""",
+    "rough_inside_e": """
+        SELECT r.event_id, r.source, r.run_no, j.job, r.level FROM rough_runs_e r JOIN rough_jobs_e j ON r.source = j.source AND r.run_no = j.run_no
+          AND r.ts IS NOT NULL AND (j.start_ts IS NULL OR r.ts >= j.start_ts) AND (j.end_ts IS NULL OR r.ts <= j.end_ts)""",
+    "rough_spans_e": """
+        SELECT * FROM rough_inside_e UNION ALL
+        SELECT event_id, source, run_no, job_name, level FROM rough_runs_e r WHERE message = 'Pipeline job status' AND NOT EXISTS (
+          SELECT 1 FROM rough_inside_e i WHERE i.source = r.source AND i.run_no = r.run_no AND i.job = r.job_name)""",
     "dated_d": """
         SELECT id, bank_code, true_date, doc_id,
           CASE WHEN bank_code = 'RBA' THEN CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 3 = 1 THEN ''
