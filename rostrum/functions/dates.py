@@ -16,6 +16,7 @@ MONTH_NAMES = (
     "July", "August", "September", "October", "November", "December",
 )  # fixed values
 MONTHS = "|".join(MONTH_NAMES)
+MONTH_STARTS = "".join(m[:3] for m in MONTH_NAMES)
 
 # Accepted formats by source style, first success wins, and the shape of
 # each. A failed parse costs an exception, so only text of the right shape is parsed.
@@ -116,19 +117,37 @@ def _ddmmyy(digits: Column) -> Column:
     return F.try_to_date(F.concat(century, year, F.lit("-"), month, F.lit("-"), day), "yyyy-MM-dd")
 
 
-def date_from_text(text: Column, window: int = 2000) -> Column:
-    """First 'D Month YYYY', else first 'Month D, YYYY' (also 'Mon. D, YYYY'), near
-    the top of a text. The window is the feature: dates further down are other dates."""
+def _written(text: Column, pattern: str, year: int, month: int, day: int) -> Column:
+    """The first date of a shape, whose month is a word that begins like a month's name."""
+    name = F.initcap(F.substring(extract(text, pattern, month), 1, 3))
+    number = ((F.instr(F.lit(MONTH_STARTS), name) + 2) / 3).cast("int").cast("string")
+    return F.try_to_date(F.concat_ws("-", extract(text, pattern, year), number, extract(text, pattern, day)), "yyyy-M-d")
+
+
+def _date_of_bank(text: Column, bank: Column) -> Column:
+    """The forms that two banks use: 'Jan.31, 2025', 'Jan. 31,2025' (BOJ); '24 Jan 2019', 'Jan 24, 2019' (BOE)."""
+    start = "|".join(m[:3] for m in MONTH_NAMES)
+    tight = _written(text, rf"\b((?:{start})[a-z]*)\.?\s*(\d{{1,2}}),\s*(\d{{4}})", 3, 1, 2)
+    day_first = _written(text, rf"\b(\d{{1,2}})\s+((?:{start})[a-z]*)\s+(\d{{4}})", 3, 2, 1)
+    month_first = _written(text, rf"\b((?:{start})[a-z]*)\s+(\d{{1,2}}),\s+(\d{{4}})", 3, 1, 2)
+    return F.when(bank == "BOJ", tight).when(bank == "BOE", F.coalesce(day_first, month_first))
+
+
+def date_from_text(text: Column, window: int = 2000, bank: Column | None = None) -> Column:
+    """The date near the top of a text. With `bank` first in a form of that bank; then 'D Month YYYY', else
+    'Month D, YYYY' (also 'Mon. D, YYYY'), the first of each. The window is the feature: dates further
+    down are other dates."""
     head = F.substring(text, 1, window)
     day_first = extract(head, rf"\b(\d{{1,2}}\s+(?:{MONTHS})\s+\d{{4}})\b")
     month_first = F.replace(
         extract(head, r"\b([A-Z][a-z]+\.?\s+\d{1,2},\s+\d{4})\b"), F.lit("."), F.lit("")
     )
-    return F.coalesce(
+    found = (
         _parse(squeeze(day_first), "d MMMM yyyy"),
         _parse(squeeze(month_first), "MMMM d, yyyy"),
         _parse(squeeze(month_first), "MMM d, yyyy"),
     )
+    return F.coalesce(*found) if bank is None else F.coalesce(_date_of_bank(head, bank), *found)
 
 
 def is_placeholder_date(bank: Column, date_text: Column) -> Column:
@@ -160,7 +179,7 @@ def repair_date(bank: Column, date_text: Column, url: Column, full_text: Column)
             .otherwise(date_text)
         )
 
-    return let(date_from_text(full_text).cast("string"), pick)
+    return let(date_from_text(full_text, bank=bank).cast("string"), pick)
 
 
 def lag_days(stamp: Column, date: Column) -> Column:

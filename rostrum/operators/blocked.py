@@ -9,15 +9,22 @@ from pyspark.sql import functions as F
 def running_count(
     df: DataFrame, source: str, block: str, seq: str, flag: Column, name: str, total: str | None = None
 ) -> DataFrame:
-    """Rows of a source are cut into blocks of bounded size; `name` becomes the number of
-    flagged rows up to and including each row, in (block, seq) order, and `total` (if
-    given) the number in the whole source.
+    """`name` becomes the number of flagged rows up to and including each row, in (block, seq) order, and `total`
+    (if given) the number in the whole source; see `running_sum`."""
+    return running_sum(df, source, block, seq, F.coalesce(flag, F.lit(False)).cast("int"), name, total)
 
-    Flags are counted per block, the blocks (far fewer than rows) are summed up in order,
-    and the count inside a block starts from the sum before it. A source of any length is
+
+def running_sum(
+    df: DataFrame, source: str, block: str, seq: str, value: Column, name: str, total: str | None = None
+) -> DataFrame:
+    """Rows of a source are cut into blocks of bounded size; `name` becomes the sum of `value` (null: 0) up to
+    and including each row, in (block, seq) order, and `total` (if given) that of the whole source.
+
+    Values are summed per block, the blocks (far fewer than rows) are summed up in order,
+    and the sum inside a block starts from the one before it. A source of any length is
     spread over as many tasks as it has blocks.
     """
-    one = F.when(F.coalesce(flag, F.lit(False)), 1).otherwise(0).cast("long")
+    one = F.coalesce(value, F.lit(0)).cast("long")
     per_block = df.groupBy(source, block).agg(F.sum(one).alias("_in_block"))
     blocks = Window.partitionBy(source)
     before = blocks.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)

@@ -9,10 +9,12 @@ from rostrum import schemas
 from rostrum.functions import people, scoring
 from rostrum.functions.basic import let
 from rostrum.operators.common import as_date, settle_ids, split_rows
+from rostrum.session import materialize
 
 SEARCH_WINDOW = 1000
 GRAM = 8
-SMALL_ROSTER = 2000
+#: Letters of a name's beginning that its index rows are keyed by.
+HEAD = 4
 
 
 def get_or_create_members(members: DataFrame, seen: DataFrame, now: Column) -> DataFrame:
@@ -221,93 +223,100 @@ def merge_members(members: DataFrame, speeches: DataFrame) -> tuple[DataFrame, D
     return kept, remap_speakers(speeches, id_map)
 
 
-def name_keys(members: DataFrame) -> DataFrame:
-    """The best member for everything a last-name lookup can match.
+def _best_first() -> Column:
+    """Active members first, then the latest speech, then the name."""
+    return F.struct(
+        (F.coalesce(F.col("status"), F.lit("")) != "active"),
+        -F.coalesce(F.datediff("last_speech_date", F.lit("0001-01-01").cast("date")), F.lit(-1)),
+        F.col("name"),
+    )
+
 
-    `name LIKE '% x' OR name LIKE 'x%'` holds exactly if x is a prefix of the name or what
-    follows one of its spaces. Each name is expanded to those keys (as many as it has
-    characters and words) and the best member per key is chosen by a partial aggregate:
-    active first, then the latest speech. The lookup becomes an equi join.
+def name_index(members: DataFrame, head: int = HEAD) -> DataFrame:
+    """The word-start index of a roster: (bank_code, kind, key, low, name, order).
+
+    A name has a row per word start behind the first ('tail', what follows there), one per length up to `head` of its
+    beginning ('start'), and none per further letter: rows grow with the words of names, not with their letters.
     """
     low = F.lower("name")
-    prefixes = F.transform(F.sequence(F.lit(1), F.length("name")), lambda n: F.substring(F.lower("name"), F.lit(1), n))
     parts = F.split(low, " ")
+    starts = F.transform(F.sequence(F.lit(1), F.least(F.length(low), F.lit(head))), lambda n: F.struct(
+        F.lit("start").alias("kind"), F.substring(F.lower("name"), F.lit(1), n).alias("key")))
     tails = F.transform(
-        F.sequence(F.lit(1), F.size(parts)),
-        lambda n: F.array_join(F.slice(parts, n, F.size(parts)), " "),
-    )
-    keyed = members.where(F.length("name") > 0).select(
-        "bank_code", "name", "status", "last_speech_date",
-        F.explode(F.array_distinct(F.concat(prefixes, F.slice(tails, 2, 1 << 20)))).alias("key"),
-    )
-    order = F.struct(
-        (F.coalesce(F.col("status"), F.lit("")) != "active"),
-        -F.coalesce(F.datediff("last_speech_date", F.lit("0001-01-01").cast("date")), F.lit(-1)),
-        F.col("name"),
-    )
-    return keyed.groupBy("bank_code", "key").agg(F.min_by("name", order).alias("found"))
+        F.when(F.size(parts) > 1, F.sequence(F.lit(2), F.size(parts))).otherwise(F.array().cast("array<int>")),
+        lambda n: F.struct(F.lit("tail").alias("kind"), F.array_join(F.slice(parts, n, F.size(parts)), " ").alias("key")))
+    return members.where(F.length("name") > 0).select(
+        "bank_code", F.inline(F.array_distinct(F.concat(starts, tails))), low.alias("low"), "name", _best_first().alias("order")
+    ).select("bank_code", "kind", "key", "low", "name", "order")
+
 
+def lastname_lookup(names: DataFrame, members: DataFrame, head: int = HEAD) -> DataFrame:
+    """(bank_code, last_name) -> full name, the input where nobody matches.
 
-def lastname_lookup(names: DataFrame, members: DataFrame) -> DataFrame:
-    """(bank_code, last_name) -> full name, the input where nobody matches."""
+    `name LIKE '% x' OR name LIKE 'x%'` holds exactly if x is the tail of a name behind a space or its beginning. A
+    tail and a beginning of up to `head` letters meet in an equi join with the best member of each key, chosen by a
+    partial aggregate. A longer beginning is a range of sorted names: it is joined within the bucket of
+    its first `head` letters, the rest being a residual condition.
+    """
+    asked = names.select("bank_code", F.lower("last_name").alias("x")).where(F.length("x") > 0).distinct()
+    index = name_index(members, head)
+    best = index.groupBy("bank_code", "kind", "key").agg(F.min(F.struct("order", "name")).alias("b"))
+    exact = asked.join(best.withColumnRenamed("key", "x"), ["bank_code", "x"]).select("bank_code", "x", "b")
+    long = asked.where(F.length("x") > head).withColumn("key", F.substring("x", 1, head))
+    heads = index.where((F.col("kind") == "start") & (F.length("key") == head)).drop("kind")
+    ranged = long.join(heads, ["bank_code", "key"]).where(F.startswith(F.col("low"), F.col("x"))).select(
+        "bank_code", "x", F.struct("order", "name").alias("b"))
+    found = exact.unionByName(ranged).groupBy("bank_code", "x").agg(F.min("b").alias("b")).select(
+        "bank_code", "x", F.col("b.name").alias("found"))
     return (
-        names.withColumn("key", F.lower("last_name"))
-        .join(name_keys(members), ["bank_code", "key"], "left")
-        .withColumn("speaker", F.coalesce("found", "last_name"))
-        .drop("key", "found")
+        names.withColumn("x", F.lower("last_name")).join(found, ["bank_code", "x"], "left")
+        .withColumn("speaker", F.coalesce("found", "last_name")).drop("x", "found")
     )
 
 
-def name_in_text(speeches: DataFrame, roster: DataFrame, small_roster: int = SMALL_ROSTER) -> DataFrame:
+def name_in_text(speeches: DataFrame, roster: DataFrame) -> DataFrame:
     """(id, speaker): the first name of a bank's list that occurs, in any case, in
     the title or the first 1,000 characters of the text.
 
-    `roster` has (bank_code, name, position). A roster proven small (its size is counted,
-    up to the limit) is attached to each row as one array per bank. A larger one takes the
-    general way: names are keyed by their first characters and met by the character grams
-    of the search area in an equi join, so that no row is compared with a whole list.
+    `roster` has (bank_code, name, position). One plan for rosters of any size: the grams that texts share with any
+    name are found and written first, without the texts; they are counted, each name is keyed by its rarest one, and
+    the name is looked for only in the texts that have it. A name with a gram that no text has meets nothing,
+    and a beginning that many names share ("governor") is nobody's key unless nothing rarer is there.
     """
     area = speeches.select(
         "id", "bank_code",
         F.lower(F.concat_ws(" ", "title", F.substring("full_text", 1, SEARCH_WINDOW))).alias("area"),
     )
-    # Both ways compare the name as folded here; a null or empty name is no name.
+    # A null or empty name is no name.
     names = roster.select("bank_code", "position", "name", F.lower("name").alias("low")).where(F.length("low") > 0)
-    small = names.limit(small_roster + 1).count() <= small_roster
-    return (_names_by_list if small else _names_by_gram)(area, names)
-
-
-def _names_by_list(area: DataFrame, names: DataFrame) -> DataFrame:
-    lists = names.groupBy("bank_code").agg(F.sort_array(F.collect_list(F.struct("position", "name", "low"))).alias("people"))
-    found = F.filter("people", lambda p: F.contains(F.col("area"), p["low"]))
-    return (
-        area.join(F.broadcast(lists), "bank_code")
-        .select("id", F.try_element_at(found, F.lit(1))["name"].alias("speaker"))
-        .where(F.col("speaker").isNotNull())
-    )
-
-
-def _names_by_gram(area: DataFrame, names: DataFrame) -> DataFrame:
     # At most GRAM different key lengths exist; only those are cut from the texts.
-    key_length = F.least(F.length("low"), F.lit(GRAM))
-    sizes = sorted(r[0] for r in names.select(key_length).distinct().collect())
-    keyed = names.select("bank_code", "position", "name", "low", F.substring("low", F.lit(1), key_length).alias("gram"))
+    size = F.least(F.length("low"), F.lit(GRAM))
+    sizes = sorted(r[0] for r in names.select(size).distinct().collect())
+    if not sizes:
+        return area.where(F.lit(False)).select("id", F.lit(None).cast("string").alias("speaker"))
 
-    def cut(letters: Column, size: int) -> Column:
-        starts = F.sequence(F.lit(1), F.size(letters) - size + 1)
+    def cut(letters: Column, n) -> Column:
+        starts = F.sequence(F.lit(1), F.size(letters) - n + 1)
         return F.when(
-            F.size(letters) >= size, F.transform(starts, lambda i: F.array_join(F.slice(letters, i, size), ""))
+            F.size(letters) >= n, F.transform(starts, lambda i: F.array_join(F.slice(letters, i, n), ""))
         ).otherwise(F.array().cast("array<string>"))
 
-    def every(letters: Column) -> Column:
-        return F.array_distinct(F.flatten(F.array(*[cut(letters, n) for n in sizes])))
+    def letters_of(text: str) -> Column:
+        return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
 
-    letters = F.regexp_extract_all("area", F.lit("(?s)."), F.lit(0))
-    grams = let(letters, every) if sizes else F.array().cast("array<string>")
+    named = names.select("*", F.explode(let(letters_of("low"), lambda c: F.array_distinct(cut(c, size)))).alias("gram"))
+    wanted = named.select("bank_code", "gram").distinct()
+    grams = let(letters_of("area"), lambda c: F.array_distinct(F.flatten(F.array(*[cut(c, F.lit(n)) for n in sizes]))))
     pieces = area.select("id", "bank_code", F.explode(grams).alias("gram"))
     # The size of the exploded side is underestimated by the optimizer, so it must not be
     # broadcast; a merge join also lets AQE split hot grams.
-    hits = pieces.hint("merge").join(keyed, ["bank_code", "gram"]).select("id", "position", "name", "low")
+    shared = materialize(pieces.hint("merge").join(wanted, ["bank_code", "gram"], "left_semi"), "name-grams")
+    counts = shared.groupBy("bank_code", "gram").agg(F.count(F.lit(1)).alias("n"))
+    person = ("bank_code", "position", "name", "low")
+    keyed = named.join(counts, ["bank_code", "gram"], "left").groupBy(*person).agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("k")).where(F.col("k.n") > 0).select(
+        *person, F.col("k.gram").alias("gram"))
+    hits = shared.join(keyed, ["bank_code", "gram"]).select("id", "position", "name", "low")
     return (
         hits.join(area.select("id", "area"), "id")
         .where(F.contains(F.col("area"), F.col("low")))

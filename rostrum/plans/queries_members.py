@@ -231,8 +231,8 @@ def name_in_text(v):
 
 @query(NAME_SQL)
 def name_in_text_large_roster(v):
-    """The way taken for a roster too large to attach to every row."""
-    return members.name_in_text(v.speeches_d.where("full_text IS NOT NULL"), v.roster_d, small_roster=0)
+    """The same plan, as for a roster of any size."""
+    return members.name_in_text(v.speeches_d.where("full_text IS NOT NULL"), v.roster_d)
 
 
 @query(f"""

@@ -7,7 +7,9 @@ from rostrum.functions.basic import strip
 from rostrum.operators.common import as_date
 from rostrum.plans.registry import query
 from rostrum.plans.views import AS_OF_O
+from rostrum.session import work_folder
 from rostrum.sources import datasets, pages
+from rostrum.sources.runlogs import read_log
 
 # --- URLs -----------------------------------------------------------------------------
 
@@ -147,6 +149,24 @@ def date_from_text(v):
     return v.dated_d.select("id", dates.date_from_text(F.col("full_text")).alias("found"))
 
 
+@query("""
+    SELECT id, bank_code, CAST(CASE
+      WHEN id % 6 = 0 AND (bank_code = 'BOE' OR month(true_date) = 5) THEN true_date
+      WHEN id % 6 IN (1, 2) AND bank_code = 'BOJ' THEN true_date
+      WHEN id % 6 = 3 THEN true_date
+      WHEN id % 6 = 4 THEN true_date END AS VARCHAR) AS found FROM dated_d""")
+def date_from_text_by_bank(v):
+    """X9 in the forms that the banks' own pages use."""
+    forms = F.expr("""CASE id % 6 WHEN 0 THEN concat('Published on ', date_format(true_date, 'd MMM yyyy'))
+        WHEN 1 THEN concat('Tokyo, ', date_format(true_date, 'MMM'), '.', date_format(true_date, 'd, yyyy'))
+        WHEN 2 THEN concat(date_format(true_date, 'MMM'), '. ', date_format(true_date, 'd,yyyy'))
+        WHEN 3 THEN concat('Given on ', date_format(true_date, 'd MMMM yyyy'))
+        WHEN 4 THEN concat('At noon, ', date_format(true_date, 'MMM d, yyyy')) ELSE 'No date here' END""")
+    head = F.concat(forms, F.lit("\n"), F.col("full_text").substr(F.instr("full_text", "\n") + 1, F.length("full_text")))
+    # BOJ writes the month first; a date that names the day first is found by the general form.
+    return v.dated_d.select("id", "bank_code", dates.date_from_text(head, bank=F.col("bank_code")).alias("found"))
+
+
 PLACEHOLDER_SQL = """(bank_code IN ('BOE', 'BOJ') AND (date LIKE '%-01-01' OR date LIKE '%-50-%'))
       OR (bank_code = 'BOE' AND (date LIKE '2021-%-01' OR date LIKE '2022-%-01' OR date LIKE '2023-%-01'))
       OR (bank_code = 'RBA' AND coalesce(date, '') = '')"""
@@ -507,7 +527,7 @@ def extract_page_links(v):
       ELSE 'https://www.bankofcanada.ca/2024/01/a-talk/' END AS url,
       CASE page_id % 6 WHEN 1 THEN NULL WHEN 2 THEN '2024-01-01' WHEN 5 THEN '2024-01-09' ELSE '2024-01-05' END AS date,
       CASE page_id % 6 WHEN 5 THEN 'Remarks' ELSE 'speech' END AS speech_type, 'Title of talk ' || page_id AS title,
-      CASE page_id % 6 WHEN 3 THEN 'Junko Koeda' WHEN 4 THEN 'Ann Bee' WHEN 5 THEN 'Cy Dee' END AS speaker
+      CASE page_id % 6 WHEN 3 THEN 'Hana Mori' WHEN 4 THEN 'Ann Bee' WHEN 5 THEN 'Cy Dee' END AS speaker
     FROM pages""")
 def extractor_rules(v):
     """List pages of the six layouts, one per given page, read by the per-bank rules."""
@@ -525,7 +545,7 @@ def extractor_rules(v):
         .when(k == 2, html('<a href="/speech/2024/january/a"><h3 class="list">', t, "</h3><p>more</p></a>",
                            '<a href="/news/speeches">All of the speeches</a>'))
         .when(k == 3, html("<table><tr><th>Date</th></tr><tr><td>Jan.&nbsp;5,&nbsp;2024</td>",
-                           "<td>KOEDA Junko, Member</td><td><a href='/en/about/press/koen_2024/ko240105a.htm'>", t,
+                           "<td>MORI Hana, Counsellor</td><td><a href='/en/about/press/koen_2024/ko240105a.htm'>", t,
                            "</a></td></tr><tr><td>x</td><td>y</td><td><a href='/en/koen_2024/index.htm'>Index</a></td></tr></table>"))
         .when(k == 4, html('<li><a href="/speeches/2024/sp-gov-2024-01-05.html">', t, '</a> <span class="author-name">Ann Bee</span></li>',
                            '<li><a href="/speeches/2024/sp-gov-2024-01-05.html">Audio</a></li>'))
@@ -609,6 +629,33 @@ def scan_speech_csv(v):
     )
 
 
+@query("""
+    SELECT id, title, CAST(date AS VARCHAR) AS date, coalesce('sp' || speaker_id, '') AS speaker, coalesce(full_text, '') AS full_text
+    FROM (SELECT id, trim(title, ' ' || chr(10)) AS title, date, speaker_id, trim(full_text, ' ' || chr(10)) AS full_text FROM speeches_d
+      WHERE trim(title, ' ' || chr(10)) <> '')""")
+def scan_speech_csv_file(v):
+    """S2 from real files: the documents written as quoted records with their line breaks, and read in many splits."""
+    def quoted(c):
+        return F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+
+    def plain(c):  # a field without quotes
+        return F.coalesce(c.cast("string"), F.lit(""))
+
+    body = F.concat(F.col("id").cast("string"), F.lit("\u0002"), F.coalesce("full_text", F.lit("")))
+    line = F.concat_ws("|", F.date_format("date", "dd/MM/yyyy"), plain(F.concat(F.lit("sp"), F.col("speaker_id").cast("string"))),
+                       quoted(F.col("title")), F.lit(""), quoted(body))
+    path = work_folder(v.spark, "speech-csv")
+    v.speeches_d.select(line.alias("value")).write.option("lineSep", "\n").text(path)
+    # The files have no header line, so no record is left out.
+    rows = datasets.csv_records(read_log(v.spark, path))
+    options = {"sep": "|", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    raw = rows.select(F.from_csv("record", F.lit(datasets.CSV_COLUMNS), options).alias("r")).select("r.*")
+    parts = F.split("full_text", "\u0002")
+    return datasets.dataset_rows(raw).where("title <> ''").select(
+        F.element_at(parts, 1).cast("long").alias("id"), "title", "date", "speaker",
+        strip(F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit(""))).alias("full_text"))
+
+
 @query("""
     SELECT event_id, 'https://e.eu/press/' || CASE event_id % 3 WHEN 0 THEN 'key' ELSE 'inter' END || '/' || event_id AS url,
       CAST(CAST(ts AS DATE) AS VARCHAR) AS date,

@@ -7,17 +7,40 @@ from pyspark.sql import functions as F
 
 from rostrum.functions import dates, people, urls
 from rostrum.functions.basic import strip
+from rostrum.operators.blocked import running_count, running_sum
+from rostrum.sources.runlogs import read_log
 
 CSV_COLUMNS = "date STRING, speakers STRING, title STRING, subtitle STRING, contents STRING"
 FEED_COLUMNS = "link STRING, title STRING, pubDate STRING"
 FEED_PATHS = ("/press/key/", "/press/inter/")
 
 
+def csv_records(lines: DataFrame) -> DataFrame:
+    """Records of quoted text files from their lines (source, block, seq, value): (source, record_no, record).
+
+    A line that ends inside quotes goes on in the next one. Quotes are counted per block, the few block sums are added
+    up in order, and each line knows from its own block whether it begins a record, so a file is read in as many
+    tasks as it has splits, and a record may cross them. Lines that are records of their own are not shuffled again
+    to be put together. Records are numbered from 1 in each file.
+    """
+    quotes = (F.length("value") - F.length(F.replace("value", F.lit('"')))).cast("long")
+    counted = running_sum(lines.withColumn("_quotes", quotes), "source", "block", "seq", F.col("_quotes"), "_upto")
+    begins = (F.col("_upto") - F.col("_quotes")) % 2 == 0
+    numbered = running_count(counted, "source", "block", "seq", begins, "record_no")
+    whole = (F.col("_quotes") % 2 == 0) & ((F.col("_upto") - F.col("_quotes")) % 2 == 0)
+    alone = numbered.where(whole).select("source", "record_no", F.col("value").alias("record"))
+    pieces = numbered.where(~whole).groupBy("source", "record_no").agg(
+        F.sort_array(F.collect_list(F.struct("block", "seq", "value"))).alias("_lines"))
+    joined = pieces.select("source", "record_no", F.array_join(F.transform("_lines", lambda p: p["value"]), "\n").alias("record"))
+    return alone.unionByName(joined)
+
+
 def read_speech_csv(spark: SparkSession, path: str, year: int | None = None, scheme: str = "ecb") -> DataFrame:
-    """The pipe-separated dataset with full text."""
-    raw = spark.read.schema(CSV_COLUMNS).csv(
-        path, sep="|", header=True, enforceSchema=True, multiLine=True, quote='"', escape='"', mode="PERMISSIVE"
-    )
+    """The pipe-separated dataset with full text, in as many tasks as its files have splits. The first record of a
+    file is its header."""
+    records = csv_records(read_log(spark, path)).where((F.col("record_no") > 1) & (F.trim("record") != ""))
+    options = {"sep": "|", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    raw = records.select(F.from_csv("record", F.lit(CSV_COLUMNS), options).alias("r")).select("r.*")
     return dataset_rows(raw, year, scheme)
 
 

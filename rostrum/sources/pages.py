@@ -7,6 +7,7 @@ stage that scales with the number of input splits.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -234,57 +235,79 @@ def _cards(html: Column, rule: SiteRule) -> Column:
     return F.filter(pieces, lambda p: p.rlike(r"\A" + rule.card_start))
 
 
-def page_links(pages: DataFrame, rule: SiteRule, year: int | None = None) -> DataFrame:
-    """Candidate rows of the list pages of one bank, in page order.
+def _of(rule: SiteRule) -> Column:
+    """Whether a row belongs to a rule; the rule '*' takes all."""
+    return F.lit(True) if rule.bank_code == "*" else F.col("bank_code") == rule.bank_code
 
-    Returns (page_id, bank_code, position, title, date, url, speaker, speech_type).
-    """
-    cards = pages.where(F.lit(True) if rule.bank_code == "*" else F.col("bank_code") == rule.bank_code).select(
-        "page_id", "bank_code", F.posexplode(_cards(F.col("html"), rule)).alias("position", "card")
-    )
-    card = F.col("card")
+
+def _card_parts(card: Column, rule: SiteRule) -> dict[str, Column]:
+    """Where a card of a bank has its link, title, date and speaker, and whether it can be a candidate at all."""
     if rule.bank_code == "BOJ":
         cells = F.regexp_extract_all(card, F.lit(r"(?is)<td\b[^>]*>(.*?)</td\s*>"), F.lit(1))
-        cards = cards.select("*", cells.alias("cells")).where(F.size("cells") >= 3)
-        scope, date_text = item("cells", 3), inner_text(item("cells", 1))
-        named = people.listed_speaker(inner_text(item("cells", 2)))
+        usable, scope, date_text = F.size(cells) >= 3, item(cells, 3), inner_text(item(cells, 1))
+        named = people.listed_speaker(inner_text(item(cells, 2)))
     else:
-        scope = extract(card, rule.link_within) if rule.link_within else card
+        usable, scope = F.lit(True), extract(card, rule.link_within) if rule.link_within else card
         date_text = inner_text(extract(
             card, r"(?is)<span\b[^>]*class=[\"'][^\"']*(?:media-date|pressdate)[^\"']*[\"'][^>]*>(.*?)</span>"
         ))
         named = non_empty(inner_text(extract(card, _speaker_pattern(rule.bank_code))))
-
     anchor = F.regexp_extract(scope, ANCHOR, 0)
     label = F.coalesce(extract(anchor, rule.title_within), anchor) if rule.title_within else anchor
-    rows = cards.select(
-        "page_id", "bank_code", "position", "card",
-        _href(anchor).alias("href"), inner_text(label).alias("title"),
-        date_text.alias("date_text"), named.alias("named"),
-        F.substring(extract(card, r"(?is)<time\b[^>]*datetime=[\"']([^\"']+)"), 1, 10).alias("time_tag"),
-        (F.transform(F.regexp_extract_all(card, F.lit(ANCHOR), F.lit(0)), inner_text)).alias("labels"),
-    ).where(is_candidate(F.col("href"), F.col("title"), rule))
-    if rule.typed:
-        rows = rows.where(is_collectable(F.col("labels")))
+    return {"usable": usable, "href": _href(anchor), "title": inner_text(label), "date_text": date_text, "named": named}
 
+
+def _date_of(rule: SiteRule, year: int | None) -> Column:
     default = F.lit(year) if (rule.default_year and year) else None
     found = [F.try_to_date("time_tag", "yyyy-MM-dd"), dates.parse_date(F.col("date_text"), rule.date_style)]
     if rule.url_date_style:
         found.append(dates.date_from_url(F.col("href"), rule.url_date_style, default))
     elif default is not None:
         found.append(F.try_to_date(F.concat(default.cast("string"), F.lit("-01-01")), "yyyy-MM-dd"))
+    return F.coalesce(*found)
+
+
+def all_page_links(pages: DataFrame, rules: tuple[SiteRule, ...] = RULES, year: int | None = None) -> DataFrame:
+    """Candidate rows of the list pages of several banks, in page order.
+
+    Returns (page_id, bank_code, position, title, date, url, speaker, speech_type). The rule is chosen per row, so all
+    banks are read in one scan; rows of other banks give nothing.
+    """
+    def by_bank(make: Callable[[SiteRule], Column]) -> Column:
+        value = F.lit(None)
+        for rule in reversed(rules):
+            value = F.when(_of(rule), make(rule)).otherwise(value)
+        return value
+
+    def part(name: str) -> Column:
+        return by_bank(lambda r: _card_parts(F.col("card"), r)[name])
+
+    def admitted(rule: SiteRule) -> Column:
+        ok = F.col("usable") & is_candidate(F.col("href"), F.col("title"), rule)
+        return ok & is_collectable(F.col("labels")) if rule.typed else ok
+
+    cards = pages.select("page_id", "bank_code", F.posexplode(by_bank(lambda r: _cards(F.col("html"), r))).alias("position", "card"))
+    rows = cards.select(
+        "page_id", "bank_code", "position", *[part(n).alias(n) for n in ("usable", "href", "title", "date_text", "named")],
+        F.substring(extract(F.col("card"), r"(?is)<time\b[^>]*datetime=[\"']([^\"']+)"), 1, 10).alias("time_tag"),
+        (F.transform(F.regexp_extract_all("card", F.lit(ANCHOR), F.lit(0)), inner_text)).alias("labels"),
+    ).where(by_bank(admitted))
     out = rows.select(
-        "page_id", "bank_code", "position", "title",
-        F.coalesce(*found).alias("date"),
-        urls.absolute_url(F.col("href"), rule.base_url, rule.relative_prefix, rule.keep_other_links).alias("url"),
+        "page_id", "bank_code", "position", "title", by_bank(lambda r: _date_of(r, year)).alias("date"),
+        by_bank(lambda r: urls.absolute_url(F.col("href"), r.base_url, r.relative_prefix, r.keep_other_links)).alias("url"),
         F.coalesce(F.col("named"), people.speaker_from_title(F.col("title"), F.col("bank_code"))).alias("speaker"),
-        (primary_type(F.col("labels")) if rule.typed else F.lit("speech")).alias("speech_type"),
+        by_bank(lambda r: primary_type(F.col("labels")) if r.typed else F.lit("speech")).alias("speech_type"),
     ).where(F.col("url").isNotNull())
     if year is not None:
         out = out.where(F.col("date").isNull() | (F.year("date") == year))
     return out
 
 
+def page_links(pages: DataFrame, rule: SiteRule, year: int | None = None) -> DataFrame:
+    """Candidate rows of the list pages of one bank; see `all_page_links`."""
+    return all_page_links(pages, (rule,), year)
+
+
 def _speaker_pattern(bank: str) -> str:
     """Where a card names its speaker: a profile link, a release tag or an author element."""
     if bank == "BOC":
@@ -294,15 +317,6 @@ def _speaker_pattern(bank: str) -> str:
     return r"(?is)<\w+\b[^>]*class=[\"'][^\"']*(?:author-name|speaker)[^>]*>(.*?)</"
 
 
-def all_page_links(pages: DataFrame, rules: tuple[SiteRule, ...] = RULES, year: int | None = None) -> DataFrame:
-    """Candidates of all banks in one relation."""
-    frames = [page_links(pages, rule, year) for rule in rules]
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
-
-
 def page_texts(pages: DataFrame, rules: tuple[SiteRule, ...] = RULES) -> DataFrame:
     """S7 for a table of text pages of several banks: (page_id, bank_code, url, full_text).
 

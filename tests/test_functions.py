@@ -152,25 +152,16 @@ def test_headers(value):
     assert value(lambda c: people.header_field(c, "DATE"), "no header") is None
 
 
-def test_clean_page_text(value):
-    page = """
-    An anchor of stability
-    Remarks
-    Share this page on Facebook
-    Share this page on Facebook
-    Available as:
-    PDF
-    Introduction
-
-    Introduction
-    Good afternoon.
-    Content Type(s)
-    :
-    Press
-    Related Information
-    """
-    assert value(text.clean_page_text, page) == "An anchor of stability\nRemarks\nIntroduction\nGood afternoon."
-    assert value(text.clean_page_text, "") == ""
+@pytest.mark.parametrize("lines, kept", [
+    (["  Why ports matter ", "", "Why ports matter", "Cranes."], ["Why ports matter", "Cranes."]),
+    (["a", "PDF", "a", "Video", "b", "a"], ["a", "b", "a"]),  # chrome between two equal lines does not part them
+    (["Rail", "Share this page by mail", "Share this page", "and road", "Audio only"], ["Rail", "and road", "Audio only"]),
+    (["Tide tables", "Subject(s)", "Harbours", "Related Information"], ["Tide tables"]),
+    (["Related Information on ebb", "flood\u00a0", "Related Information", "Subject(s)", "x"], ["Related Information on ebb", "flood"]),
+    (["Available as:", "Content Type(s)"], []), ([], [])])
+def test_clean_page_text(value, lines, kept):
+    assert value(text.clean_page_text, "\n".join(lines)) == "\n".join(kept)
+    assert value(text.clean_page_text, "\r\n\t".join(lines)) == "\n".join(kept)
 
 
 @settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -253,3 +244,12 @@ def test_choose_text_and_menu(value):
     assert value(text.choose_text, "x" * 100, "web") == "x" * 100
     assert value(text.trim_menu, "About us\nmore", "Heading") == "Heading"
     assert value(text.trim_menu, "x" * 250 + "About us", "Heading") == "x" * 250 + "About us"
+
+
+@pytest.mark.parametrize("bank, body, want", [
+    ("BOJ", "Tokyo, Jan.31, 2025 at noon", dt.date(2025, 1, 31)), ("BOJ", "Sept. 5,2024", dt.date(2024, 9, 5)),
+    ("BOE", "Published on 24 Jan 2019", dt.date(2019, 1, 24)), ("BOE", "12 Sept 2020 and 1 May 2021", dt.date(2020, 9, 12)),
+    ("BOE", "Mar 3, 2020", dt.date(2020, 3, 3)), ("FRB", "Published on 24 Jan 2019", None), ("FRB", "24 January 2019", dt.date(2019, 1, 24)),
+    ("BOE", "31 Feb 2020", None), ("BOE", "see 7 Rooms 2020", None), (None, "24 January 2019", dt.date(2019, 1, 24)), ("BOJ", None, None)])
+def test_date_in_the_form_of_a_bank(value, bank, body, want):
+    assert value(lambda b, t: dates.date_from_text(t, bank=b), bank, body) == want
