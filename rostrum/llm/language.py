@@ -55,8 +55,8 @@ def _doc_freq(batches):
     """Partial document frequencies: one row per bucket and task; bucket -1 counts texts."""
     total, n = np.zeros(DIMS, dtype=np.int64), 0
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            counts = ngram_counts(text)
+        for text in batch.column(0):  # one text at a time as a Python string
+            counts = ngram_counts(text.as_py())
             if counts is not None:
                 total += counts > 0
                 n += 1
@@ -86,7 +86,8 @@ def _cluster(idf: np.ndarray, k: int, rounds: int, slack: float):
         frame = frame.sort_values(["key", "text"])
         counts = [c for c in map(ngram_counts, frame["text"]) if c is not None]
         if not counts:
-            return pd.DataFrame({"lang": [], "centroid": [], "floor": []})
+            # Typed, as a column without a value has no type of its own.
+            return pd.DataFrame({"lang": pd.Series([], dtype=object), "centroid": pd.Series([], dtype=object), "floor": pd.Series([], dtype=float)})
         rows = np.stack([vector(c, idf).astype(np.float32) for c in counts])
         # Farthest-first seeding, then Lloyd steps with cosine.
         seeds = [0]
@@ -167,7 +168,12 @@ def op7_language_id(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_known(docs: DataFrame) -> DataFrame:
-    """Rows of `docs` whose text is not rejected, learnt from `docs` themselves; all columns stay."""
+    """Rows of `docs` whose text is not rejected, learnt from `docs` themselves; all columns stay.
+
+    Null texts, texts without a letter, and all texts where no row has a language to learn from are rejected.
+    Rows with a null id teach nothing but are judged; repeated rows are judged alike; columns of
+    any further names pass through.
+    """
     model = fit(docs.where(~held_out(F.col("doc_id"), 3, 1)).select("text", "lang"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
