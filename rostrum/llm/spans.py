@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rostrum.llm.common import fields, record_batch, table, text_slices
@@ -18,7 +19,8 @@ from rostrum.session import materialize
 
 #: A sentence ends at white space behind a full stop, question or exclamation mark, or at a line break.
 BORDER = re.compile(r"(?<=[.!?])\s+|\n\s*")
-SPANS = fields("id long, text_key long, at int, width int, span binary")
+#: The hash of a run is `high` and `low`; `part` splits the rows of a very frequent run.
+SPANS = fields("id long, text_key long, at int, width int, high long, low long, part int")
 
 
 def sentences(text: str) -> list[str]:
@@ -48,19 +50,35 @@ def runs(text: str, least: int, words: int) -> list[tuple[int, int, bytes]]:
     return [(i, k, xxhash.xxh3_128_digest(b" ".join(w for s in split[i:i + k] for w in s))) for i, k in sorted(found)]
 
 
-def _spans(least: int, words: int):
+def _spans(least: int, words: int, frequent=None, parts: int = 1):
     def run(batches):
+        hot = frequent.value if frequent else ()
         for batch in batches:
             for part in text_slices(batch, "text"):
-                rows = [
-                    (doc, key, *r)
-                    for doc, key, text in zip(*(c.to_pylist() for c in part.columns), strict=True)
-                    for r in runs(text or "", least, words)]
-                yield record_batch(SPANS, {n: [r[i] for r in rows] for i, n in enumerate(SPANS.names)})
+                rows, hashes = [], []
+                for doc, key, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    for at, width, span in runs(text or "", least, words):
+                        hashes.append(span)
+                        # Behind 0, the parts of a frequent run are 1 and more.
+                        rows.append((doc, key, at, width, 1 + key % parts if span in hot else 0))
+                halves = np.frombuffer(b"".join(hashes), ">i8").reshape(-1, 2)
+                columns = {n: [r[i] for r in rows] for i, n in enumerate(("id", "text_key", "at", "width", "part"))}
+                yield record_batch(SPANS, columns | {"high": halves[:, 0].astype("i8"), "low": halves[:, 1].astype("i8")})
 
     return run
 
 
+def frequent_runs(docs: DataFrame, least: int, words: int, most: int = 1_000, part: int = 16, rows: int = 200) -> set[bytes]:
+    """The hashes of at most `most` runs that fill the most rows, `rows` at least in a hash sample of one text in `part`.
+
+    The sample only decides how rows are dealt to tasks, never what is found: a run it misses fills
+    less than a `most`-th of all rows.
+    """
+    drawn = docs.where(F.pmod(F.xxhash64("id", "text_key"), F.lit(part)) == 0)
+    counts = drawn.mapInArrow(_spans(least, words), SPANS).groupBy("high", "low").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= rows)
+    return {np.array([r["high"], r["low"]], ">i8").tobytes() for r in counts.orderBy(F.desc("n"), "high", "low").limit(most).collect()}
+
+
 def _cut(text: str | None, gone: list | None) -> str | None:
     if not gone or text is None:
         return text
@@ -68,33 +86,42 @@ def _cut(text: str | None, gone: list | None) -> str | None:
     return "".join(s for k, s in enumerate(sentences(text)) if k not in dropped)
 
 
-def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", least: int = 2, words: int = 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", least: int = 2, words: int = 20,
+                   parts: int = 64) -> DataFrame:
     """`docs` with repeated passages cut from the text; columns and rows stay, the text may become empty.
 
     The first place of a run, by id, text hash and position, keeps it. Rows equal in id and text
     are one document and stay equal. A passage goes in whole sentences: what it has of a sentence it
-    begins or ends in the middle of stays, and so does a passage without a run inside. Null and empty texts have no runs and stay; a null id comes first.
-    A run that fills a third of all rows is one row per input partition before the
-    shuffle, and only repeated runs are joined back.
+    begins or ends in the middle of stays, and so does a passage without a run inside. Null and empty texts have no runs
+    and stay; a null id comes first.
+
+    Runs are shuffled once, by their hash; a task walks them in order of place and keeps the rank alone. The rows of a
+    run that a sample shows to be very frequent are dealt to `parts` places by text; the first of each is then
+    compared with the others, a few thousand rows in all.
     """
     text, key = F.col(f"`{text_col}`"), F.xxhash64(F.col(f"`{text_col}`"))
     ident = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63)))
-    spans = materialize(docs.select(ident.alias("id"), key.alias("text_key"), text.alias("text")).mapInArrow(
-        _spans(least, words), SPANS), "span-runs")
-    place = F.struct("id", "text_key", "at")
-    first = spans.groupBy("span").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last")
-    covered = spans.join(first.select("span", "first"), "span").where(place != F.col("first")).select(
-        "id", "text_key", "at", "width").distinct()
-    gone = covered.groupBy("id", "text_key").agg(F.collect_list(F.struct("at", "width")).alias("_gone"))
+    narrow = docs.select(ident.alias("id"), key.alias("text_key"), text.alias("text"))
+    hot = docs.sparkSession.sparkContext.broadcast(frequent_runs(narrow, least, words))
+    spans = narrow.mapInArrow(_spans(least, words, hot, parts), SPANS)
+    place = ("id", "text_key", "at")
+    ranked = spans.withColumn("_rank", F.rank().over(Window.partitionBy("high", "low", "part").orderBy(*place)))
+    ranked = materialize(ranked.where((F.col("_rank") > 1) | (F.col("part") > 0)), "span-ranked")
+    firsts = ranked.where("_rank = 1").withColumn("_all", F.rank().over(Window.partitionBy("high", "low").orderBy(*place)))
+    covered = ranked.where("_rank > 1").select("id", "text_key", "at", "width").unionByName(
+        firsts.where("_all > 1").select("id", "text_key", "at", "width"))
+    gone = covered.groupBy("id", "text_key").agg(F.collect_set(F.struct("at", "width")).alias("_gone"))
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, lists: pd.Series) -> pd.Series:
         return pd.Series([_cut(t, None if g is None else [(r["at"], r["width"]) for r in g]) for t, g in zip(texts, lists, strict=True)], dtype=object)
 
-    keyed = docs.withColumns({"_id": ident, "_key": key})
-    gone = gone.withColumnsRenamed({"id": "_id", "text_key": "_key"})
-    joined = keyed.join(gone, ["_id", "_key"], "left")
-    return joined.select(*[cut(text, F.col("_gone")).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    # One column of its own beside the input's, so that no name of theirs can clash.
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("_row"),
+                        ident.alias("id"), key.alias("text_key"))
+    joined = keyed.join(gone, ["id", "text_key"], "left")
+    return joined.select(*[
+        (cut(F.col(f"_row.c{i}"), F.col("_gone")) if c == text_col else F.col(f"_row.c{i}")).alias(c) for i, c in enumerate(docs.columns)])
 
 
 def op4_substring_dedup(spark, sf_dir: str) -> DataFrame:
