@@ -40,6 +40,13 @@ def keep_first_by_id(df: DataFrame, keys: list[str], row_id: str, *order: Column
     return df.join(kept.select(row_id), row_id, "left_semi").select(*df.columns)
 
 
+def left_join_spread(left: DataFrame, right: DataFrame, key: str, spread: str) -> DataFrame:
+    """A left join on a key that is null in a large part of `left`. Such rows meet nothing; they are dealt to
+    tasks by `spread` instead of all going to the task of the null key."""
+    dealt = left.withColumn("_none", F.when(F.col(key).isNull(), F.xxhash64(spread)).otherwise(F.lit(0)))
+    return dealt.join(right.withColumn("_none", F.lit(0).cast("long")), [key, "_none"], "left").drop("_none")
+
+
 def settle_ids(rows: DataFrame, keys: list[str], taken: DataFrame | None = None) -> DataFrame:
     """Hash ids made unique: `rows` has `id` and `_new` (true where the id is a new hash).
 

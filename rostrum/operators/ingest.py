@@ -211,16 +211,16 @@ def refresh_changed(
 
     Returns (speeches, members); speakers are created as needed.
     """
-    changes = detect_changes(speeches, members, listed)
-    bank_of = speeches.select("id", "bank_code")
-    named = changes.join(bank_of, "id").select("bank_code", F.col("speaker").alias("name"))
-    all_members = get_or_create_members(members, named, now)
-    ids = all_members.select("bank_code", F.col("name").alias("_name"), F.col("id").alias("_speaker_id"))
-    new = changes.join(fetched.select("url", F.col("full_text").alias("_text")), "url", "left").select(
+    changes = detect_changes(speeches, members, listed).join(speeches.select("id", "bank_code"), "id")
+    all_members = get_or_create_members(members, changes.select("bank_code", F.col("speaker").alias("name")), now)
+    ids = all_members.select("bank_code", F.col("name").alias("speaker"), F.col("id").alias("_speaker_id"))
+    # Everything about a change is put together before the speeches and their texts are met, once and by id.
+    new = changes.join(fetched.select("url", F.col("full_text").alias("_text")), "url", "left").join(
+        ids, ["bank_code", "speaker"], "left").select(
         "id", F.lit(True).alias("_hit"), F.col("title").alias("_title"), F.col("date").alias("_date"),
-        F.col("speech_type").alias("_type"), F.col("speaker").alias("_name"), "_text",
+        F.col("speech_type").alias("_type"), "_speaker_id", "_text",
     )
-    joined = speeches.join(new, "id", "left").join(ids, ["bank_code", "_name"], "left")
+    joined = speeches.join(new, "id", "left")
     out = _set(
         joined, F.col("_hit"),
         title=F.col("_title"), date=F.col("_date"), speech_type=F.col("_type"), speaker_id=F.col("_speaker_id"),

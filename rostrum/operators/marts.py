@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rostrum.functions import dates, scoring
-from rostrum.operators.common import as_date
+from rostrum.operators.common import as_date, left_join_spread
 
 HALF_LIFE_DAYS = 14
 FRESH_DAYS = 45
@@ -45,8 +45,7 @@ def events_mart(speeches: DataFrame, analysis: DataFrame, members: DataFrame, up
     )
     m = members.select(F.col("id").alias("speaker_id"), F.col("name").alias("speaker"))
     return (
-        s.join(a, "speech_id")
-        .join(m, "speaker_id", "left")
+        left_join_spread(s.join(a, "speech_id"), m, "speaker_id", "speech_id")
         .withColumn("collection_lag_days", dates.lag_days(F.col("fetched_at"), F.col("date")))
         .withColumn("analysis_lag_days", dates.lag_days(F.col("analyzed_at"), F.col("date")))
         .withColumn("updated_at", updated_at)

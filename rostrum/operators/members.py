@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rostrum import schemas
 from rostrum.functions import people, scoring
 from rostrum.functions.basic import let
-from rostrum.operators.common import as_date, settle_ids, split_rows
+from rostrum.operators.common import as_date, left_join_spread, settle_ids, split_rows
 from rostrum.session import materialize
 
 SEARCH_WINDOW = 1000
@@ -199,13 +199,17 @@ def merge_map(members: DataFrame) -> DataFrame:
     winners = (
         named.where(F.col("name").isNotNull()).groupBy("bank_code", "name").agg(F.min("old_id").alias("new_id"))
     )
-    return named.join(winners, ["bank_code", "name"], "left").select("old_id", "new_id", "bank_code", "name")
+    # Names that are noise are null and have no winner; they pass by the join.
+    noise = named.where(F.col("name").isNull()).withColumn("new_id", F.lit(None).cast(named.schema["old_id"].dataType))
+    found = named.where(F.col("name").isNotNull()).join(winners, ["bank_code", "name"], "left")
+    columns = ("old_id", "new_id", "bank_code", "name")
+    return found.select(*columns).unionByName(noise.select(*columns))
 
 
 def remap_speakers(speeches: DataFrame, id_map: DataFrame) -> DataFrame:
     """Speaker ids through a map; ids that are not in it stay, ids mapped to null go."""
     m = id_map.select(F.col("old_id").alias("speaker_id"), F.col("new_id").alias("_new"), F.lit(True).alias("_hit"))
-    return speeches.join(m, "speaker_id", "left").select(*[
+    return left_join_spread(speeches, m, "speaker_id", "id").select(*[
         F.when(F.col("_hit"), F.col("_new")).otherwise(F.col(c)).alias(c) if c == "speaker_id" else F.col(c)
         for c in speeches.columns
     ])

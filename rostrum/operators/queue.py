@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rostrum import schemas
 from rostrum.functions import scoring, text
 from rostrum.functions.basic import non_empty
-from rostrum.operators.common import split_rows
+from rostrum.operators.common import left_join_spread, split_rows
 from rostrum.operators.marts import ANALYZED
 
 MAX_ATTEMPTS = 3
@@ -27,9 +27,8 @@ def with_analysis(speeches: DataFrame, analysis: DataFrame) -> DataFrame:
 def with_speaker(rows: DataFrame, members: DataFrame) -> DataFrame:
     """The speaker's name, null where unknown. Whether the member table is broadcast
     is decided by its size, by the optimizer."""
-    return rows.join(
-        members.select(F.col("id").alias("speaker_id"), F.col("name").alias("speaker")), "speaker_id", "left"
-    )
+    names = members.select(F.col("id").alias("speaker_id"), F.col("name").alias("speaker"))
+    return left_join_spread(rows, names, "speaker_id", "id")
 
 
 def _is_open() -> Column:
@@ -147,16 +146,19 @@ def revive_skipped(analysis: DataFrame, speeches: DataFrame) -> DataFrame:
 Scorer = Callable[[pd.Series], pd.Series]
 
 
-def score_batch(queue: DataFrame, scorer: Scorer, partitions: int | None = None) -> DataFrame:
+def score_batch(
+    queue: DataFrame, scorer: Scorer, partitions: int | None = None, max_chars: int = text.MAX_CHARS
+) -> DataFrame:
     """V1: (speech_id, response) from a user's scorer, which maps a batch of input texts to
     result JSON (null for a failed call).
 
     The only step that leaves the JVM. Partitions are the unit of parallel calls and of
-    retry after the loss of an executor.
+    retry after the loss of an executor. A text is handed over up to `max_chars` characters, which a
+    scorer's input bounds, and says so where it was cut.
     """
     work = queue.select(
         F.col("id").alias("speech_id"),
-        text.scorer_input(F.col("full_text"), F.col("date"), F.col("speaker")).alias("input"),
+        text.scorer_input(F.col("full_text"), F.col("date"), F.col("speaker"), max_chars).alias("input"),
     )
     if partitions:
         work = work.repartition(partitions)

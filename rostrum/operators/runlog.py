@@ -251,17 +251,19 @@ def run_summary(runs: DataFrame) -> DataFrame:
     )
 
 
-def run_span(stage_runs: DataFrame, run_id: str | None = None, limit: int | None = 5) -> DataFrame:
-    """First start and last finish per run, newest first."""
+def run_span(stage_runs: DataFrame, run_id: str | None = None, limit: int | None = None) -> DataFrame:
+    """First start and last finish per run, newest first; `limit` makes it a report of the latest."""
     rows = stage_runs if run_id is None else stage_runs.where(F.col("run_id") == run_id)
     spans = rows.groupBy("run_id").agg(F.min("started_at").alias("started_at"), F.max("finished_at").alias("finished_at"))
     ordered = spans.orderBy(F.col("started_at").desc(), "run_id")
     return ordered if limit is None else ordered.limit(limit)
 
 
-def stage_order(stage_runs: DataFrame, limit: int = 5) -> DataFrame:
-    """Stages of the latest runs in the order they ran. The sort is over the whole
+def stage_order(stage_runs: DataFrame, limit: int | None = None) -> DataFrame:
+    """Stages of all (or the latest) runs in the order they ran. The sort is over the whole
     table, by range partitions; no run is gathered in one task."""
+    if limit is None:
+        return stage_runs.orderBy("run_id", "started_at", "id")
     latest = run_span(stage_runs, limit=limit).select("run_id")
     return stage_runs.join(latest, "run_id", "left_semi").orderBy("run_id", "started_at", "id")
 

@@ -149,7 +149,7 @@ def backfill_text(v):
 
 def _listed(v):
     """What the list pages say now about the stored pages: some fields changed."""
-    known = v.known_p
+    known = v.stored_p
     return known.select(
         "url", F.when(F.col("id") % 4 == 0, F.concat("title", F.lit("!"))).otherwise(F.col("title")).alias("title"),
         F.when(F.col("id") % 5 == 0, F.date_add("date", 1)).otherwise(F.col("date")).alias("date"),
@@ -159,21 +159,21 @@ def _listed(v):
 
 @query("""
     SELECT id, CAST(id % 4 = 0 OR id % 5 = 0 OR id % 7 = 0 AS BIGINT) AS metadata_changed,
-      CAST(id % 2 = 0 AS BIGINT) AS dirty_text FROM known_p WHERE id % 2 = 0 OR id % 4 = 0 OR id % 5 = 0 OR id % 7 = 0""")
+      CAST(id % 2 = 0 AS BIGINT) AS dirty_text FROM stored_p WHERE id % 2 = 0 OR id % 4 = 0 OR id % 5 = 0 OR id % 7 = 0""")
 def detect_changes(v):
     no_members = v.members_d.where(F.lit(False))
-    return ingest.detect_changes(v.known_p, no_members, _listed(v)).select("id", "metadata_changed", "dirty_text")
+    return ingest.detect_changes(v.stored_p, no_members, _listed(v)).select("id", "metadata_changed", "dirty_text")
 
 
 @query("""
     SELECT id, CASE WHEN id % 4 = 0 THEN title || '!' ELSE title END AS title,
       CAST(CASE WHEN id % 5 = 0 THEN date + 1 ELSE date END AS VARCHAR) AS date,
       CASE WHEN id % 2 = 0 THEN 'new text' ELSE full_text END AS full_text, CAST(id % 7 = 0 AS BIGINT) AS has_speaker,
-      CAST(NOT (id % 2 = 0 OR id % 4 = 0 OR id % 5 = 0 OR id % 7 = 0) AS BIGINT) AS synced FROM known_p""")
+      CAST(NOT (id % 2 = 0 OR id % 4 = 0 OR id % 5 = 0 OR id % 7 = 0) AS BIGINT) AS synced FROM stored_p""")
 def refresh_changed(v):
     no_members = v.members_d.where(F.lit(False))
-    fetched = v.known_p.where("id % 2 = 0").select("url", F.lit("new text").alias("full_text"))
-    out, _ = ingest.refresh_changed(v.known_p, no_members, _listed(v), fetched, as_time(NOW_D))
+    fetched = v.stored_p.where("id % 2 = 0").select("url", F.lit("new text").alias("full_text"))
+    out, _ = ingest.refresh_changed(v.stored_p, no_members, _listed(v), fetched, as_time(NOW_D))
     return out.select(
         "id", "title", "date", "full_text", F.col("speaker_id").isNotNull().alias("has_speaker"),
         F.col("synced_at").isNotNull().alias("synced"),

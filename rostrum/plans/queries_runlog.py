@@ -1,5 +1,6 @@
 """Run logs and status."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rostrum.functions import logs
@@ -286,6 +287,20 @@ def stage_order(v):
     return runlog.stage_order(v.runlog_e, limit=5).select("id", "run_id", "stage_name")
 
 
+@query(f"""
+    SELECT run_id, {STAMP.format('min(started_at)')} AS started_at, {STAMP.format('max(finished_at)')} AS finished_at FROM runlog_e GROUP BY 1""")
+def run_span_all(v):
+    """A9 of every run."""
+    return runlog.run_span(v.runlog_e)
+
+
+@query("SELECT id, run_id, stage_name, row_number() OVER (PARTITION BY run_id ORDER BY started_at, id) AS place FROM runlog_e")
+def stage_order_all(v):
+    """W14 of every run, each stage with its place."""
+    place = F.row_number().over(Window.partitionBy("run_id").orderBy("started_at", "id"))
+    return runlog.stage_order(v.runlog_e).select("id", "run_id", "stage_name", place.alias("place"))
+
+
 @query("""
     SELECT id, run_id, round((epoch_us(finished_at) - epoch_us(started_at)) / 1000000.0, 6) AS duration_seconds, item_count FROM runlog_e""")
 def record_stage(v):

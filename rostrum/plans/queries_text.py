@@ -356,15 +356,15 @@ def dirty_text(v):
 
 
 @query(r"""
-    SELECT doc_id, regexp_replace(trim(replace(text, ' t', '-' || chr(10) || 't'), ' ' || chr(10)), '([\p{L}\p{N}_]+)-\n([a-z]+)', '\1\2', 'g') AS joined,
-      CASE WHEN n_chars % 2 = 0 THEN 'This speech appears to be a scanned document or contains no extractable text.'
-        ELSE trim(substring(text, 1, 60), ' ' || chr(10)) END AS message
-    FROM documents WHERE n_chars > 80""")
+    SELECT doc_id, CASE WHEN length(joined) < 50 THEN message ELSE joined END AS joined,
+      CASE WHEN n_chars % 2 = 0 OR length(head) < 50 THEN message ELSE head END AS message
+    FROM (SELECT doc_id, n_chars, 'This speech appears to be a scanned document or contains no extractable text.' AS message,
+      regexp_replace(trim(replace(text, ' t', '-' || chr(10) || 't'), ' ' || chr(10)), '([\p{L}\p{N}_]+)-\n([a-z]+)', '\1\2', 'g') AS joined,
+      trim(substring(text, 1, 60), ' ' || chr(10)) AS head FROM documents)""")
 def dehyphenate(v):
-    wide = v.table("documents").where("n_chars > 80")
     broken = F.replace("text", F.lit(" t"), F.lit("-\nt"))
     head = F.when(F.col("n_chars") % 2 == 0, F.lit("too little")).otherwise(F.rpad(F.substring("text", 1, 60), 60, " "))
-    return wide.select("doc_id", text.dehyphenate(broken).alias("joined"), text.dehyphenate(head).alias("message"))
+    return v.table("documents").select("doc_id", text.dehyphenate(broken).alias("joined"), text.dehyphenate(head).alias("message"))
 
 
 @query("SELECT doc_id, text AS clean FROM documents")

@@ -175,8 +175,13 @@ class Views:
 
     @cached_property
     def known_p(self) -> DataFrame:
-        """Already stored speeches for the candidates: every third page."""
-        return self.table("pages").where("page_id % 3 = 0").selectExpr(
+        """Already stored speeches for the candidates: every third page, the others being new."""
+        return self.stored_p.where("id % 3 = 0")
+
+    @cached_property
+    def stored_p(self) -> DataFrame:
+        """All pages as stored speeches."""
+        return self.table("pages").selectExpr(
             "page_id AS id", "regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) AS bank_code",
             "CAST(NULL AS bigint) AS speaker_id",
             "CASE WHEN page_id % 2 = 0 THEN concat(' ', regexp_extract(html, '<title>([^<]*)</title>', 1), ' (Summary) ') "
@@ -408,13 +413,14 @@ SQL_VIEWS: dict[str, str] = {
           CASE WHEN page_id % 4 <> 0 THEN 'Person ' || (page_id % 20) END AS speaker
         FROM (SELECT page_id, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS bank_code, url AS page_url,
             regexp_extract(html, '<title>([^<]*)</title>', 1) AS page_title, unnest([0, 1, 2]) AS k FROM pages)""",
-    "known_p": """
+    "stored_p": """
         SELECT page_id AS id, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS bank_code,
           CASE WHEN page_id % 2 = 0 THEN ' ' || regexp_extract(html, '<title>([^<]*)</title>', 1) || ' (Summary) '
             ELSE 'other' END AS title,
           DATE '2024-01-01' + CAST(page_id % 30 AS INTEGER) AS date, url,
           CASE WHEN page_id % 2 = 0 THEN 'Share this page' ELSE 'clean' END AS full_text
-        FROM pages WHERE page_id % 3 = 0""",
+        FROM pages""",
+    "known_p": "SELECT * FROM stored_p WHERE id % 3 = 0",
     "runlog_e": """
         SELECT event_id AS id, 'run' || user_id AS run_id, event_type AS stage_name, ts AS started_at,
           CASE WHEN event_id % 9 <> 0 THEN ts + to_microseconds(CAST(round(value * 1000000) AS BIGINT)) END AS finished_at,
