@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 from rostrum.functions import scoring
 from rostrum.operators import marts
 from rostrum.operators.common import as_date, as_time
+from rostrum.plans.queries_sinks import SNAPSHOT_SQL, shown_tables
 from rostrum.plans.registry import query
 from rostrum.plans.views import AS_OF_O, NOW_O
+from rostrum.session import work_folder
 
 DAILY_SQL = """
     CAST(date AS VARCHAR) AS date, bank_code, round(daily_stance_score, 6) AS daily_stance_score,
@@ -189,16 +191,14 @@ def scan_year_slices(v):
     return year_slices(rows, 2021).select("id", "bank_code")
 
 
-@query("""
-    SELECT 'speeches' AS name, count(*) AS n FROM speeches_o UNION ALL SELECT 'analysis', count(*) FROM analysis_o
-    UNION ALL SELECT 'members', count(*) FROM members_o UNION ALL SELECT 'stage_runs', count(*) FROM runlog_e""")
+@query(SNAPSHOT_SQL)
 def scan_tables(v):
-    """Base tables conformed to their declared schemas."""
+    """The base tables as they are stored, read with their declared schemas, row by row."""
     from rostrum.operators.migrate import add_missing_columns
+    from rostrum.sources.tables import read_table
 
-    frames = {"speeches": v.speeches_o, "analysis": v.analysis_o, "members": v.members_o, "stage_runs": v.runlog_e}
-    rows = [
-        add_missing_columns(df, name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
-        for name, df in frames.items()
-    ]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
+    root = work_folder(v.spark, "base")
+    store = {"members": v.members_o, "analysis": v.analysis_o, "speeches": v.speeches_o, "stage_runs": v.runlog_e}
+    for name, df in store.items():
+        add_missing_columns(df, name).write.parquet(f"{root}/{name}")
+    return shown_tables({name: read_table(v.spark, root, name) for name in store})

@@ -7,8 +7,8 @@ from rostrum.functions import logs
 from rostrum.operators import runlog
 from rostrum.plans.registry import SQL, query
 from rostrum.session import materialize, work_folder
-from rostrum.sinks import logstore
-from rostrum.sources.runlogs import parse_log
+from rostrum.sinks import logstore, tables
+from rostrum.sources.runlogs import parse_log, read_log, read_status_events
 
 STAMP = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
 TS_TEXT = "strftime(ts, '%Y-%m-%d %H:%M:%S,%g')"
@@ -52,6 +52,17 @@ def scan_run_log(v):
     )
 
 
+@query(f"""
+    SELECT {STAMP.format('ts')} AS ts, level, 'rostrum' AS logger, message, {EXTRA_SQL} AS extra_text,
+      CASE WHEN event_type IN ('click', 'view') THEN job_name END AS job_name FROM log_fields_e""")
+def scan_run_log_file(v):
+    """Lines written to text files and read from them in their splits."""
+    path = work_folder(v.spark, "log-files")
+    tables.write_log(v.log_lines_e, F.col("value"), path)
+    return parse_log(read_log(v.spark, path)).select(
+        "ts", "level", "logger", "message", "extra_text", F.try_element_at("extra", F.lit("job_name")).alias("job_name"))
+
+
 @query("SELECT event_id, CAST(k AS VARCHAR) AS k, 'last' AS twice, CAST(3 AS BIGINT) AS n FROM log_fields_e")
 def parse_kv(v):
     text = F.concat(F.lit("k="), F.col("k").cast("string"), F.lit(", twice=first, =nokey, noequals, e= a=b , twice=last"))
@@ -369,3 +380,15 @@ def scan_event_jsonl(v):
     rows = v.status_e.select(F.from_json(line, schemas.STATUS_EVENTS).alias("e")).select("e.*")
     return rows.select(F.col("run_id").cast("long").alias("event_id"), "stage", F.col("status").alias("state"), "event_at")
 
+
+
+@query(SQL["scan_event_jsonl"])
+def scan_event_jsonl_file(v):
+    """S5 from real files of JSON lines."""
+    line = F.to_json(F.struct(
+        F.lit("x").alias("service"), "stage", F.col("state").alias("status"), F.col("event_id").cast("string").alias("run_id"),
+        F.date_format("event_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_at")))
+    path = work_folder(v.spark, "status-files")
+    v.status_e.select(line.alias("value")).write.text(path)
+    return read_status_events(v.spark, path).select(
+        F.col("run_id").cast("long").alias("event_id"), "stage", F.col("status").alias("state"), "event_at")

@@ -236,6 +236,22 @@ def _seconds():
     return duration_seconds(F.col("started_at"), F.col("finished_at"))
 
 
+def shown_tables(store):
+    """The rows of the four base tables in one relation, as `SNAPSHOT_SQL` shows them."""
+    shown = {
+        "members": ("id", ("bank_code", "name", "role", "status", "last_speech_date")),
+        "analysis": ("speech_id", ("analysis_status", "analysis_attempts", "keywords")),
+        "speeches": ("id", ("bank_code", "speaker_id", "title", "date", "url")),
+        "stage_runs": ("id", ("run_id", "stage_name", "status", "item_count")),
+    }
+    rows = [
+        store[name].select(
+            F.lit(name).alias("tab"), F.col(key).cast("string").alias("row_key"),
+            F.concat_ws("|", *[F.col(c).cast("string") for c in columns]).alias("content"))
+        for name, (key, columns) in shown.items()]
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
+
 SNAPSHOT_SQL = f"""
     SELECT 'members' AS tab, CAST(id AS VARCHAR) AS row_key, concat_ws('|', bank_code, name, role, status, CAST(last_speech_date AS VARCHAR)) AS content FROM members_o
     UNION ALL SELECT 'analysis', CAST(speech_id AS VARCHAR), concat_ws('|', analysis_status, CAST(analysis_attempts AS VARCHAR), keywords) FROM analysis_o
@@ -250,19 +266,7 @@ def export_snapshot(v):
     store = {"members": v.members_o, "analysis": v.analysis_o, "speeches": v.speeches_o.drop("full_text"), "stage_runs": v.runlog_e}
     tables.export_snapshot(store, root, 20010801)
     manifest.write_part(v.members_o.limit(0), root)  # a writer that dies before it publishes
-    back = tables.read_snapshot(v.spark, root)
-    shown = {
-        "members": ("id", ("bank_code", "name", "role", "status", "last_speech_date")),
-        "analysis": ("speech_id", ("analysis_status", "analysis_attempts", "keywords")),
-        "speeches": ("id", ("bank_code", "speaker_id", "title", "date", "url")),
-        "stage_runs": ("id", ("run_id", "stage_name", "status", "item_count")),
-    }
-    rows = [
-        back[name].select(
-            F.lit(name).alias("tab"), F.col(key).cast("string").alias("row_key"),
-            F.concat_ws("|", *[F.col(c).cast("string") for c in columns]).alias("content"))
-        for name, (key, columns) in shown.items()]
-    return reduce(lambda a, b: a.unionByName(b), rows)
+    return shown_tables(tables.read_snapshot(v.spark, root))
 
 
 @query(SQL["upsert_by_key"])

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from rostrum.functions import dates, people, scoring, text, urls
 from rostrum.functions.basic import strip
 from rostrum.operators.common import as_date
-from rostrum.plans.registry import query
+from rostrum.plans.registry import SQL, query
 from rostrum.plans.views import AS_OF_O
 from rostrum.session import work_folder
 from rostrum.sources import datasets, pages
@@ -675,6 +675,22 @@ def scan_feed_items(v):
     )
 
 
+@query(SQL["scan_feed_items"])
+def scan_feed_file(v):
+    """S3 from real files of feed items."""
+    k = F.col("event_id") % 3
+    title = F.when(k == 0, F.concat(F.lit("Money. Speech by Person "), "user_id", F.lit(", at a place"))).otherwise(
+        F.concat(F.lit("Interview with Ann "), "user_id", F.lit(", a paper")))
+    kind = F.when(k == 0, "key").when(k == 1, "inter").otherwise("pr")
+    path = work_folder(v.spark, "feed-files")
+    v.table("events").select(
+        title.alias("title"), F.concat(F.lit("https://e.eu/press/"), kind, F.lit("/"), F.col("event_id").cast("string")).alias("link"),
+        F.concat(F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0100")).alias("pubDate"),
+    ).write.format("xml").option("rowTag", "item").option("rootTag", "channel").save(path)
+    return datasets.read_feed(v.spark, path).select(
+        F.regexp_extract("url", r"(\d+)\z", 1).cast("long").alias("event_id"), "url", "date", "speaker")
+
+
 @query("""
     SELECT url, src FROM (SELECT 'https://e/' || doc_id AS url, 'dataset' AS src FROM documents WHERE doc_id % 2 = 0
       UNION ALL SELECT 'https://e/' || doc_id, 'feed' FROM documents WHERE doc_id % 3 = 0 AND doc_id % 2 <> 0)""")
