@@ -4,8 +4,10 @@ from pyspark.sql import functions as F
 
 from rostrum.operators import queue, search
 from rostrum.operators.common import as_time
-from rostrum.plans.registry import query
+from rostrum.plans.registry import SQL, query
 from rostrum.plans.views import NOW_D
+from rostrum.session import work_folder
+from rostrum.sinks import postings
 
 OPEN_SQL = "coalesce(analysis_status, 'pending') = 'pending'"
 JOINED = "speeches_d s LEFT JOIN (SELECT * EXCLUDE (synced_at) FROM analysis_d) a ON s.id = a.speech_id"
@@ -213,3 +215,23 @@ def keyword_search_index(v):
 @query(f"SELECT id FROM ({_bm25(['the'], '{0}')}) ORDER BY score DESC, id LIMIT 20")
 def rank_matches(v):
     return search.search(v.speeches_d, "the", limit=20).select("id")
+
+
+def _stored_index(v):
+    """Two batches, as they arrive."""
+    root = work_folder(v.spark, "term-index")
+    postings.store_index(v.speeches_d.where("id % 2 = 0"), root)
+    postings.store_index(v.speeches_d.where("id % 2 = 1"), root, 1)
+    return root
+
+
+@query(SQL["keyword_search"])
+def keyword_search_stored(v):
+    """J13 over stored postings in folders by term."""
+    return postings.search_stored(v.spark, _stored_index(v), "Une où")
+
+
+@query(SQL["rank_matches"])
+def rank_matches_stored(v):
+    """R7 over stored postings: blocks that can't reach the best are left out."""
+    return postings.search_stored(v.spark, _stored_index(v), "the", limit=20).select("id")

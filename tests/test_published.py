@@ -205,3 +205,26 @@ def test_log_filters_open_the_folders_they_need(spark, frame, tmp_path):
         assert rows_of(got) == rows_of(runlog.search_lines(lines, level, word).select(columns)), (level, word)
     assert logstore.matching_parts(spark, root, None, "nowhere") == []
     assert all(k.startswith("1|") for k in logstore.matching_parts(spark, root, None, "line 77 of"))
+
+
+def test_stored_index_ranks_like_the_full_scan(spark, frame, tmp_path):
+    from rostrum.operators import search
+    from rostrum.sinks import postings
+
+    rng, root = random.Random(5), str(tmp_path / "index")
+    words = ["rate", "où", "bread", "the", "port", "wage"]
+    rows = [(i, rng.choice([None, "The rate"]), " ".join(rng.choices(words, weights=[1, 1, 2, 9, 1, 1], k=rng.randint(0, 60))) if i % 17 else None)
+            for i in range(300)]
+    speeches = frame("id long, title string, full_text string", *rows)
+    postings.store_index(speeches.where("id < 200"), root, 0, buckets=8, block_documents=20)
+    postings.store_index(speeches.where("id >= 200"), root, 1, buckets=8, block_documents=20)
+
+    def shown(df):
+        return [(r["id"], round(r["score"], 9)) for r in df.collect()]
+
+    for keyword in ("the", "Ou", "rate où", "bread wage port rate", "nowhere", ""):
+        for limit in (None, 1, 7, 1000):
+            got = postings.search_stored(spark, root, keyword, limit, buckets=8, first=2)
+            assert shown(got) == shown(search.search(speeches, keyword, limit)), (keyword, limit)
+    whole = {f for f in postings._read(spark, root, postings.POSTINGS, words[:1], 8).inputFiles()}
+    assert len({f.split("_bucket=")[1].split("/")[0] for f in whole}) == 1  # the folders of one term
