@@ -34,7 +34,8 @@ def planted():
     words = item.split()
     words[4], words[20] = "other", "changed"
     texts[208] = prose("h208") + ". " + " ".join(words) + " " + prose("t208")
-    rows = [(i, t, "en" if i % 2 else "de", f"src{i % 3}", len(t or "")) for i, t in texts.items()]
+    # Foreign and letterless texts have no language to learn from.
+    rows = [(i, t, None if i in (200, 201, 202) else "en" if i % 2 else "de", f"src{i % 3}", len(t or "")) for i, t in texts.items()]
     return rows, [(1, item), (2, None)], passage
 
 
