@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rostrum import schemas
-from rostrum.functions import people, scoring
-from rostrum.functions.basic import let
+from rostrum.functions import grams, people, scoring
 from rostrum.operators.common import as_date, left_join_spread, settle_ids, split_rows
 from rostrum.session import materialize
 
@@ -278,53 +279,117 @@ def lastname_lookup(names: DataFrame, members: DataFrame, head: int = HEAD) -> D
     )
 
 
+def _name_grams(sizes: list[int]):
+    """(bank_code, low, salt) -> a row per gram of each name, of GRAM letters or of the whole shorter name."""
+    def run(batches):
+        for batch in batches:
+            for part in grams.slices(batch):
+                low = part.column(1).to_pylist()
+                size = np.minimum([len(t) for t in low], GRAM)
+                rows, found = [], []
+                for n, row, h in grams.hashes(low, np.asarray(part.column(2)), sizes):
+                    own = size[row] == n
+                    rows.append(row[own])
+                    found.append(h[own])
+                pair = np.unique(np.stack([np.concatenate(rows), np.concatenate(found).view(np.int64)]), axis=1)
+                at = pa.array(pair[0])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(at), part.column(1).take(at), pa.array(pair[1])], names=["bank_code", "low", "gram"])
+
+    return run
+
+
+def _shared_grams(sizes: list[int], bitmap: np.ndarray, bits: int, counted: bool):
+    """Grams of texts (area, salt, ...) that `bitmap` may hold: (gram, n) of a slice of texts if `counted`, else the
+    further columns of the text and the gram, once per text."""
+    def run(batches):
+        for batch in batches:
+            for part in grams.slices(batch):
+                rows, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                for _, row, h in grams.hashes(part.column(0).to_pylist(), np.asarray(part.column(1)), sizes):
+                    index = grams.known(h, bitmap, bits)
+                    rows.append(row[index])
+                    found.append(h[index].view(np.int64))
+                pair = np.unique(np.stack([np.concatenate(rows), np.concatenate(found)]), axis=1)
+                if counted:
+                    gram, n = np.unique(pair[1], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n)], names=["gram", "n"])
+                else:
+                    at = pa.array(pair[0])
+                    yield pa.RecordBatch.from_arrays(
+                        [*[c.take(at) for c in part.columns[2:]], pa.array(pair[1])], names=[*part.schema.names[2:], "gram"])
+
+    return run
+
+
+def _slots(bits: int):
+    def run(batches):
+        for batch in batches:
+            found = np.asarray(batch.column(0)).view(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(grams.slots(found, bits)))], names=["slot"])
+
+    return run
+
+
+def _bitmap(found: DataFrame) -> tuple[np.ndarray, int]:
+    """The grams of `found` (gram) as a bitmap and the power of two of its length: some 64 bits for each, at most 16 MB
+    however many there are. With more of them more other grams pass, which then meet nothing in a join."""
+    n = found.count()
+    bits = min(27, max(16, (64 * n).bit_length()))
+    # Numbers of Spark's bitmaps begin with 1.
+    slot = F.col("slot") + 1
+    rows = found.mapInArrow(_slots(bits), "slot long").groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()
+    out = np.zeros(1 << (bits - 3), dtype=np.uint8)
+    for r in rows:
+        part = np.frombuffer(r["bits"], np.uint8)
+        at = (r["bucket"] - 1) * len(part)
+        out[at:at + len(part)] = part
+    return out, bits
+
+
 def name_in_text(speeches: DataFrame, roster: DataFrame) -> DataFrame:
     """(id, speaker): the first name of a bank's list that occurs, in any case, in
     the title or the first 1,000 characters of the text.
 
     `roster` has (bank_code, name, position). One plan for rosters of any size: the grams that texts share with any
-    name are found and written first, without the texts; they are counted, each name is keyed by its rarest one, and
-    the name is looked for only in the texts that have it. A name with a gram that no text has meets nothing,
-    and a beginning that many names share ("governor") is nobody's key unless nothing rarer is there.
+    name are counted, each name is keyed by its rarest one, and the name is looked for only in the texts that have
+    it. A name with a gram that no text has meets nothing, and a beginning that many names share ("governor") is
+    nobody's key unless nothing rarer is there.
+
+    A text has a thousand grams of each length, so none leaves its task unless a bitmap of the names' grams may hold it:
+    counts are summed in the task, and keys are those of its own names, apart from a few that the join drops.
     """
     area = speeches.select(
         "id", "bank_code",
         F.lower(F.concat_ws(" ", "title", F.substring("full_text", 1, SEARCH_WINDOW))).alias("area"),
-    )
-    # A null or empty name is no name.
-    names = roster.select("bank_code", "position", "name", F.lower("name").alias("low")).where(F.length("low") > 0)
+    ).where(F.col("id").isNotNull() & F.col("bank_code").isNotNull())
+    salt = F.xxhash64("bank_code").alias("salt")
+    # A null or empty name is no name. Of equal ones the first is looked for.
+    low = F.lower("name")
+    names = materialize(roster.where((F.length(low) > 0) & F.col("bank_code").isNotNull()).groupBy("bank_code", low.alias("low")).agg(
+        F.min(F.struct("position", "name")).alias("first")), "name-list")
     # At most GRAM different key lengths exist; only those are cut from the texts.
-    size = F.least(F.length("low"), F.lit(GRAM))
-    sizes = sorted(r[0] for r in names.select(size).distinct().collect())
+    sizes = sorted(r[0] for r in names.select(F.least(F.length("low"), F.lit(GRAM))).distinct().collect())
     if not sizes:
         return area.where(F.lit(False)).select("id", F.lit(None).cast("string").alias("speaker"))
-
-    def cut(letters: Column, n) -> Column:
-        starts = F.sequence(F.lit(1), F.size(letters) - n + 1)
-        return F.when(
-            F.size(letters) >= n, F.transform(starts, lambda i: F.array_join(F.slice(letters, i, n), ""))
-        ).otherwise(F.array().cast("array<string>"))
-
-    def letters_of(text: str) -> Column:
-        return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
-
-    named = names.select("*", F.explode(let(letters_of("low"), lambda c: F.array_distinct(cut(c, size)))).alias("gram"))
-    wanted = named.select("bank_code", "gram").distinct()
-    grams = let(letters_of("area"), lambda c: F.array_distinct(F.flatten(F.array(*[cut(c, F.lit(n)) for n in sizes]))))
-    pieces = area.select("id", "bank_code", F.explode(grams).alias("gram"))
-    # The size of the exploded side is underestimated by the optimizer, so it must not be
-    # broadcast; a merge join also lets AQE split hot grams.
-    shared = materialize(pieces.hint("merge").join(wanted, ["bank_code", "gram"], "left_semi"), "name-grams")
-    counts = shared.groupBy("bank_code", "gram").agg(F.count(F.lit(1)).alias("n"))
-    person = ("bank_code", "position", "name", "low")
-    keyed = named.join(counts, ["bank_code", "gram"], "left").groupBy(*person).agg(
+    texts = area.select("area", salt, "id", "bank_code")
+    kinds = {f.name: f.dataType.simpleString() for f in names.schema.fields + area.schema.fields}
+    named = materialize(names.select("bank_code", "low", salt).mapInArrow(
+        _name_grams(sizes), f"bank_code {kinds['bank_code']}, low string, gram long"), "name-grams")
+    counts = texts.select("area", "salt").mapInArrow(
+        _shared_grams(sizes, *_bitmap(named.select("gram").distinct()), counted=True), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    keyed = named.join(counts, "gram", "left").groupBy("bank_code", "low").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("k")).where(F.col("k.n") > 0).select(
-        *person, F.col("k.gram").alias("gram"))
-    hits = shared.join(keyed, ["bank_code", "gram"]).select("id", "position", "name", "low")
+        "bank_code", "low", F.col("k.gram").alias("gram"))
+    keyed = materialize(keyed.join(names, ["bank_code", "low"]), "name-keys")
+    hits = texts.mapInArrow(
+        _shared_grams(sizes, *_bitmap(keyed.select("gram").distinct()), counted=False),
+        f"id {kinds['id']}, bank_code {kinds['bank_code']}, gram long").join(keyed, ["bank_code", "gram"]).drop("gram")
     return (
-        hits.join(area.select("id", "area"), "id")
+        hits.join(area, ["id", "bank_code"])
         .where(F.contains(F.col("area"), F.col("low")))
-        .groupBy("id").agg(F.min_by("name", F.struct("position", "name")).alias("speaker"))
+        .groupBy("id").agg(F.min("first").alias("first")).select("id", F.col("first.name").alias("speaker"))
     )
 
 

@@ -129,6 +129,25 @@ def test_name_in_text(frame):
     assert got == {1: "Jane Doe", 2: "aint Pau", 5: "Bo", 6: "Ünal", 7: "Y"}
 
 
+def test_name_in_text_keeps_the_grams_of_texts_in_their_tasks(frame, monkeypatch):
+    """What is written are grams of names: no row for each gram that a text shares with any of them."""
+    written, keep = [], members.materialize
+    monkeypatch.setattr(members, "materialize", lambda df, purpose: written.append(keep(df, purpose)) or written[-1])
+    text = "The governor of the bank " * 20
+    speeches = frame("id long, bank_code string, title string, full_text string", *[(i, "B", "t", f"{text}{i}") for i in range(50)])
+    roster = frame("bank_code string, position int, name string", ("B", 1, "Governor of the Bank 77"), ("B", 2, "governor of the bank 7"))
+    assert [tuple(r) for r in members.name_in_text(speeches, roster).collect()] == [(7, "governor of the bank 7")]
+    assert sum(w.count() for w in written) < 50
+
+
+def test_name_in_text_looks_in_the_text_of_the_bank(frame):
+    """Rows that share an id are looked at one by one."""
+    speeches = frame("id long, bank_code string, title string, full_text string",
+                     (1, "A", "t", "xx Ann Bergma"), (1, "B", "t", "Ann Bergman"), (2, "A", "t", "ann bergman"), (2, "A", "t", None))
+    roster = frame("bank_code string, position int, name string", ("A", 1, "Ann Bergman"), ("A", 1, "ANN BERGMAN"))
+    assert [tuple(r) for r in members.name_in_text(speeches, roster).collect()] == [(2, "ANN BERGMAN")]
+
+
 def test_name_in_text_admits_odd_names(frame):
     """Null and empty names, and names whose length or letters change with the case."""
     speeches = frame(
