@@ -6,11 +6,12 @@ by level opens the folders of its levels; a search opens those that hold every g
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rostrum.functions import logs
-from rostrum.functions.basic import let
+from rostrum.functions import grams, logs
 from rostrum.sinks import manifest
 from rostrum.sinks.manifest import Part, Published
 
@@ -18,30 +19,36 @@ LINES, GRAMS = "lines", "grams"
 GRAM = 3
 
 
-def _grams(text):
-    """The distinct grams of a lower-cased line."""
-    def cut(letters):
-        starts = F.sequence(F.lit(1), F.size(letters) - GRAM + 1)
-        return F.when(F.size(letters) >= GRAM, F.array_distinct(F.transform(
-            starts, lambda i: F.array_join(F.slice(letters, i, GRAM), "")))).otherwise(F.array().cast("array<string>"))
+def _part() -> F.Column:
+    """The level and day of a line."""
+    return F.concat_ws("|", F.coalesce("level", F.lit("")), F.coalesce(F.to_date("ts").cast("string"), F.lit("")))
 
-    return let(F.regexp_extract_all(F.lower(text), F.lit("(?s)."), F.lit(0)), cut)
+
+def _grams(batches):
+    """The distinct grams of each folder among some lower-cased lines (part, low)."""
+    for batch in batches:
+        for piece in grams.slices(batch, 4 * grams.ROWS):
+            parts = piece.column(0).dictionary_encode()
+            for number, found in grams.triples(piece.column(1).to_pylist(), np.asarray(parts.indices)):
+                name = parts.dictionary[number].as_py()
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(found)), pa.array(found)], names=["part", "gram"])
 
 
 def store_log(parsed: DataFrame, root: str, version: int = 0) -> None:
     """Publish parsed lines (see `sources.runlogs.parse_log`); with `version` above 0 they are added to those before.
 
     A line without a readable time is in the folder of its level without a day. The grams of a folder are as many as
-    there are different ones, however long the log is.
+    there are different ones, however long the log is. They are taken from the stored lines, which are as many tasks
+    as their size asks for, so that nothing is parsed twice.
     """
     spark = parsed.sparkSession
-    day = F.coalesce(F.to_date("ts").cast("string"), F.lit(""))
-    keyed = parsed.drop("extra").withColumn("_part", F.concat_ws("|", F.coalesce("level", F.lit("")), day))
+    keyed = parsed.drop("extra").withColumn("_part", _part())
     parts = manifest.write_parts(keyed.repartition("_part", F.col("block")), root, "_part")
     schema = keyed.drop("_part").schema
     # Which folder a line went to is its level and day; the manifest knows the folder by that key and version.
-    grams = keyed.select("_part", F.explode(_grams(F.col("raw"))).alias("gram")).distinct().withColumn("version", F.lit(version))
-    gram_part = manifest.write_part(grams.select(F.col("_part").alias("part"), "gram", "version"), root)
+    low = Published(schema, parts).read(spark).where(F.col("raw").isNotNull()).select(_part().alias("part"), F.lower("raw").alias("low"))
+    found = low.mapInArrow(_grams, "part string, gram string").distinct().withColumn("version", F.lit(version))
+    gram_part = manifest.write_part(found, root)
     tagged = tuple(Part(p.path, f"{version}|{p.key}") for p in parts)
     old = manifest.tables_of(spark, root, version - 1) if version else {}
     before = {n: old[n].parts if old else () for n in (LINES, GRAMS)}

@@ -228,3 +228,31 @@ def test_stored_index_ranks_like_the_full_scan(spark, frame, tmp_path):
             assert shown(got) == shown(search.search(speeches, keyword, limit)), (keyword, limit)
     whole = {f for f in postings._read(spark, root, postings.POSTINGS, words[:1], 8).inputFiles()}
     assert len({f.split("_bucket=")[1].split("/")[0] for f in whole}) == 1  # the folders of one term
+
+
+def counted_text(spark, df, column):
+    """`df` with a counter of how often `column` is evaluated."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def look(text):
+        seen.add(1)
+        return text
+
+    return df.withColumn(column, look(column)), seen
+
+
+def test_a_line_is_parsed_once_and_its_grams_are_those_stored(spark, frame, tmp_path):
+    from rostrum.sinks import logstore
+    from rostrum.sources.runlogs import parse_log
+
+    lines = ["2024-01-01 00:00:00,000 | INFO | x | Ab😀c | é", "2024-01-02 00:00:00,000 | INFO | x | zz", "soon | ERROR | x | y"]
+    logged, seen = counted_text(spark, frame("source string, block long, seq long, value string", *[
+        ("a", i, i, line) for i, line in enumerate(lines)]), "value")
+    root = str(tmp_path / "log")
+    logstore.store_log(parse_log(logged), root)
+    assert seen.value == len(lines)
+    found = manifest.tables_of(spark, root)[logstore.GRAMS].read(spark)
+    want = {(part, line.lower()[i:i + 3], 0) for part, line in zip(("INFO|2024-01-01", "INFO|2024-01-02", "ERROR|"), lines)
+            for i in range(len(line) - 2)}
+    assert sorted(tuple(r) for r in found.select("part", "gram", "version").collect()) == sorted(want)
