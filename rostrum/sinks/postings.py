@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rostrum.functions.basic import let
 from rostrum.operators import search
 from rostrum.session import materialize
 from rostrum.sinks import manifest
@@ -19,33 +20,61 @@ from rostrum.sinks.manifest import Published
 POSTINGS, BLOCKS, FIGURES = "postings", "blocks", "figures"
 BUCKETS = 64
 BLOCK_DOCUMENTS = 4096
+SLICE_DOCUMENTS = 32 * BLOCK_DOCUMENTS
 
 
 def _bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
+def _counted(words: Column) -> Column:
+    """The distinct words of a document with their numbers: sorted, a word's number is where the next one begins."""
+    def runs(ordered: Column, starts: Column) -> Column:
+        return F.transform(starts, lambda at, i: F.struct(
+            F.element_at(ordered, at).alias("term"),
+            (F.coalesce(F.get(starts, i + 1), F.size(ordered) + 1) - at).cast("long").alias("tf")))
+
+    def begins(ordered: Column) -> Column:
+        places = F.when(F.size(ordered) > 0, F.sequence(F.lit(1), F.size(ordered))).otherwise(F.array().cast("array<int>"))
+        return F.filter(places, lambda at: (at == 1) | (F.element_at(ordered, at) != F.element_at(ordered, F.greatest(at - 1, F.lit(1)))))
+
+    return let(F.sort_array(words), lambda ordered: let(begins(ordered), lambda starts: runs(ordered, starts)))
+
+
 def store_index(speeches: DataFrame, root: str, version: int = 0, buckets: int = BUCKETS, block_documents: int = BLOCK_DOCUMENTS) -> None:
     """Publish the index of `speeches` (id, title, full_text); with `version` above 0 they are added to those before.
 
     A batch's documents are dealt by hash to blocks of about `block_documents`. A term that every document has is
     spread over the tasks by its blocks. Documents are counted whole; one without a word counts as a document.
+
+    A document's words are counted within its row, so that postings are shuffled once, to their folder. A folder has a
+    file per `SLICE_DOCUMENTS`, not one per block.
     """
     spark = speeches.sparkSession
-    lengths = materialize(search.document_lengths(speeches).withColumn("words", F.col("words").cast("long")), "index-lengths")
-    n, words = lengths.agg(F.count(F.lit(1)), F.coalesce(F.sum("words"), F.lit(0))).first()
+    n = speeches.count()
     block = F.pmod(F.xxhash64("id"), F.lit(max(1, -(-n // block_documents)))) + F.lit(version << 32)
-    postings = materialize(search.build_term_index(speeches).join(lengths, "id").select(
-        "term", block.alias("block"), "id", F.col("tf").cast("long").alias("tf"), "words"), "index-postings")
-    blocks = postings.groupBy("term", "block").agg(
-        F.count(F.lit(1)).alias("n"), F.max("tf").alias("most"), F.min("words").alias("fewest"))
+    tokens = search.tokens(search._document(F.col("title"), F.col("full_text")))
+    # `inline` keeps the tokenizer from being evaluated once for each use.
+    counted = speeches.where(F.col("id").isNotNull()).select("id", F.inline(let(tokens, lambda w: F.array(F.struct(
+        F.size(w).cast("long").alias("words"), _counted(w).alias("terms"))))))
+    postings = counted.select("id", "words", F.inline("terms")).select("term", block.alias("block"), "id", "tf", "words")
     old = manifest.tables_of(spark, root, version - 1) if version else {}
-    new = {}
-    for name, df in ((POSTINGS, postings), (BLOCKS, blocks)):
+    slices = F.lit(max(1, -(-n // SLICE_DOCUMENTS)))
+
+    def stored(df: DataFrame) -> Published:
         keyed = df.withColumn("_bucket", _bucket(F.col("term"), buckets))
-        ordered = keyed.repartition("_bucket", "block").sortWithinPartitions("_bucket", "term", "block")
-        parts = manifest.write_parts(ordered, root, "_bucket")
-        new[name] = Published(df.schema, (old[name].parts if old else ()) + parts)
+        ordered = keyed.repartition("_bucket", F.pmod("block", slices)).sortWithinPartitions("_bucket", "term", "block")
+        return Published(df.schema, manifest.write_parts(ordered, root, "_bucket"))
+
+    new = {POSTINGS: stored(postings)}
+    new[BLOCKS] = stored(new[POSTINGS].read(spark).groupBy("term", "block").agg(
+        F.count(F.lit(1)).alias("n"), F.max("tf").alias("most"), F.min("words").alias("fewest")))
+    # Documents without an id have words, but no postings.
+    parts = new[POSTINGS].read(spark).select(F.col("tf").alias("words")).unionByName(
+        search.document_lengths(speeches.where(F.col("id").isNull())).select(F.col("words").cast("long")))
+    words = parts.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
+    if old:
+        new = {name: Published(table.schema, old[name].parts + table.parts) for name, table in new.items()}
     total = spark.createDataFrame([(n, words)], "n long, words long")
     new[FIGURES] = Published(total.schema, (*(old[FIGURES].parts if old else ()), manifest.write_part(total, root)))
     manifest.publish(spark, root, version, new)

@@ -256,3 +256,24 @@ def test_a_line_is_parsed_once_and_its_grams_are_those_stored(spark, frame, tmp_
     want = {(part, line.lower()[i:i + 3], 0) for part, line in zip(("INFO|2024-01-01", "INFO|2024-01-02", "ERROR|"), lines)
             for i in range(len(line) - 2)}
     assert sorted(tuple(r) for r in found.select("part", "gram", "version").collect()) == sorted(want)
+
+
+def test_an_index_reads_each_text_once_and_has_a_file_per_folder(spark, frame, tmp_path):
+    from rostrum.sinks import postings
+
+    rows = [(i, "T", " ".join(["b", "a", "b"] + [f"w{i}"] * (i % 3))) for i in range(40)] + [(50, None, None), (None, "x", "y z")]
+    speeches, seen = counted_text(spark, frame("id long, title string, full_text string", *rows), "full_text")
+    root = str(tmp_path / "index")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        postings.store_index(speeches, root, buckets=8, block_documents=2)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert seen.value == len(rows)  # the one without an id for its words alone
+    kept = manifest.tables_of(spark, root)
+    stored = kept[postings.POSTINGS].read(spark)
+    folders = [f.rsplit("/", 1)[0] for f in stored.inputFiles()]
+    assert len(folders) == len(set(folders))
+    want = {(term, i, n, 4 + i % 3) for i in range(40) for term, n in (("a", 1), ("b", 2), ("t", 1), (f"w{i}", i % 3)) if n}
+    assert sorted(tuple(r) for r in stored.select("term", "id", "tf", "words").collect()) == sorted(want)
+    assert tuple(kept[postings.FIGURES].read(spark).first()) == (42, sum(4 + i % 3 for i in range(40)) + 3)
