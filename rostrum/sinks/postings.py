@@ -48,16 +48,27 @@ def store_index(speeches: DataFrame, root: str, version: int = 0, buckets: int =
     spread over the tasks by its blocks. Documents are counted whole; one without a word counts as a document.
 
     A document's words are counted within its row, so that postings are shuffled once, to their folder. A folder has a
-    file per `SLICE_DOCUMENTS`, not one per block.
+    file per `SLICE_DOCUMENTS`, not one per block. Only rows that share an id are brought together: their occurrences are
+    summed, and each row has a posting with its own number of words.
     """
     spark = speeches.sparkSession
     n = speeches.count()
     block = F.pmod(F.xxhash64("id"), F.lit(max(1, -(-n // block_documents)))) + F.lit(version << 32)
+    repeated = materialize(
+        speeches.where(F.col("id").isNotNull()).groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("id"), "index-repeated")
+    single, several = speeches.where(F.col("id").isNotNull()), None
+    if not repeated.isEmpty():
+        several = speeches.join(repeated, "id", "left_semi")
+        single = single.join(repeated, "id", "left_anti")
     tokens = search.tokens(search._document(F.col("title"), F.col("full_text")))
     # `inline` keeps the tokenizer from being evaluated once for each use.
-    counted = speeches.where(F.col("id").isNotNull()).select("id", F.inline(let(tokens, lambda w: F.array(F.struct(
+    counted = single.select("id", F.inline(let(tokens, lambda w: F.array(F.struct(
         F.size(w).cast("long").alias("words"), _counted(w).alias("terms"))))))
-    postings = counted.select("id", "words", F.inline("terms")).select("term", block.alias("block"), "id", "tf", "words")
+    postings = counted.select("id", "words", F.inline("terms"))
+    if several is not None:
+        together = search.build_term_index(several).join(search.document_lengths(several), "id")
+        postings = postings.unionByName(together.select("id", F.col("words").cast("long").alias("words"), "term", "tf"))
+    postings = postings.select("term", block.alias("block"), "id", "tf", "words")
     old = manifest.tables_of(spark, root, version - 1) if version else {}
     slices = F.lit(max(1, -(-n // SLICE_DOCUMENTS)))
 
@@ -69,10 +80,13 @@ def store_index(speeches: DataFrame, root: str, version: int = 0, buckets: int =
     new = {POSTINGS: stored(postings)}
     new[BLOCKS] = stored(new[POSTINGS].read(spark).groupBy("term", "block").agg(
         F.count(F.lit(1)).alias("n"), F.max("tf").alias("most"), F.min("words").alias("fewest")))
-    # Documents without an id have words, but no postings.
-    parts = new[POSTINGS].read(spark).select(F.col("tf").alias("words")).unionByName(
-        search.document_lengths(speeches.where(F.col("id").isNull())).select(F.col("words").cast("long")))
-    words = parts.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
+    # Documents without an id have words, but no postings; those that share one have the postings of all.
+    apart = speeches.where(F.col("id").isNull())
+    kept = new[POSTINGS].read(spark)
+    if several is not None:
+        kept, apart = kept.join(repeated, "id", "left_anti"), apart.unionByName(several.select(apart.columns))
+    words = kept.select(F.col("tf").alias("words")).unionByName(
+        search.document_lengths(apart).select(F.col("words").cast("long"))).agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
     if old:
         new = {name: Published(table.schema, old[name].parts + table.parts) for name, table in new.items()}
     total = spark.createDataFrame([(n, words)], "n long, words long")

@@ -277,3 +277,15 @@ def test_an_index_reads_each_text_once_and_has_a_file_per_folder(spark, frame, t
     want = {(term, i, n, 4 + i % 3) for i in range(40) for term, n in (("a", 1), ("b", 2), ("t", 1), (f"w{i}", i % 3)) if n}
     assert sorted(tuple(r) for r in stored.select("term", "id", "tf", "words").collect()) == sorted(want)
     assert tuple(kept[postings.FIGURES].read(spark).first()) == (42, sum(4 + i % 3 for i in range(40)) + 3)
+
+
+def test_rows_that_share_an_id_have_their_words_together(spark, frame, tmp_path):
+    from rostrum.sinks import postings
+
+    root = str(tmp_path / "index")
+    rows = [(1, None, "a b"), (1, None, "a c d"), (2, None, "a"), (None, None, "a a"), (None, None, "b")]
+    postings.store_index(frame("id long, title string, full_text string", *rows), root, buckets=8, block_documents=2)
+    kept = manifest.tables_of(spark, root)
+    want = [("a", 1, 2, 2), ("a", 1, 2, 3), ("a", 2, 1, 1), *((t, 1, 1, n) for t in "bcd" for n in (2, 3))]
+    assert sorted(tuple(r) for r in kept[postings.POSTINGS].read(spark).select("term", "id", "tf", "words").collect()) == want
+    assert tuple(kept[postings.FIGURES].read(spark).first()) == (5, 9)
