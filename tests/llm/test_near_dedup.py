@@ -145,3 +145,62 @@ def test_an_id_of_several_texts_joins_all_their_groups(spark, frame):
     rows = [(50, texts[0]), (50, texts[1]), (50, texts[2]), (7, texts[1]), (9, texts[2]), (3, texts[3]), (60, texts[0])]
     got = {r["doc_id"]: r["component_id"] for r in N.near_duplicates(frame("doc_id long, text string", *rows)).collect()}
     assert got == brute(rows, 4, 80) == {50: 7, 7: 7, 9: 7, 60: 7, 3: 3}
+
+
+def lookalikes(rng, n):
+    """Two sets that are linked, each among `n` others that resemble it nearly as much and are linked with nothing."""
+    base = [f"b{rng.random()}" for _ in range(100)]
+
+    def changed(words, places):
+        return [f"c{rng.random()}" if i in places else w for i, w in enumerate(words)]
+
+    other = changed(base, {0, 30, 60, 99})
+    near = [changed(words, {rng.randint(5, 20), rng.randint(40, 55), rng.randint(70, 90)}) for words in (base, other) for _ in range(n)]
+    return [" ".join(words) for words in (base, other, *near)]
+
+
+def test_a_link_among_many_that_only_look_alike_is_found(spark, frame):
+    rng = random.Random(11)
+    rows = list(enumerate(t for _ in range(6) for t in lookalikes(rng, 90)))
+    got = {r["doc_id"]: r["component_id"] for r in N.near_duplicates(frame("doc_id long, text string", *rows)).collect()}
+    assert got == brute(rows, 4, 80)
+
+
+@pytest.mark.parametrize("changed", [2, 5, 7])
+def test_groups_of_different_near_copies_equal_brute_force(spark, frame, changed):
+    rows = corpus(changed + 20, [(400, 120, changed)], 60)
+    got = {r["doc_id"]: r["component_id"] for r in N.near_duplicates(frame("doc_id long, text string", *rows)).collect()}
+    assert got == brute(rows, 4, 80)
+
+
+@pytest.mark.parametrize("part_tokens", [1 << 19, 2_000])
+@pytest.mark.parametrize("joined", [0, 200])
+def test_sets_of_a_node_of_any_size_are_compared(spark, frame, part_tokens, joined):
+    """One node of all sets; `joined` of the largest group are known to be one component."""
+    rows = corpus(3, [(260, 60, 2), (60, 50, 5), (2, 40, 1)], 20)
+    largest = max((g := list(brute(rows, 4, 80).values())), key=g.count)
+    members = [d for d, c in brute(rows, 4, 80).items() if c == largest][:joined]
+    label = {d: min(members) if d in members else d for d, _ in rows}
+    links = N.unjoined(
+        frame("path long, rep long", *[(1, d) for d, _ in rows]),
+        frame("rep long, label long, n_shingles long", *[(d, label[d], len(N.shingles(t, 4))) for d, t in rows]),
+        frame("rep long, text string", *rows), 4, 80, part_tokens).collect()
+    parent = dict(label)
+
+    def root(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    for a, b in links:
+        parent[max(root(a), root(b))] = min(root(a), root(b))
+    assert {d: root(d) for d, _ in rows} == brute(rows, 4, 80)
+    if part_tokens > 2_000:
+        # As many links as labels that they join, and not as pairs.
+        assert len(links) == len(set(label.values())) - len(set(brute(rows, 4, 80).values()))
+
+
+def test_a_node_of_one_label_is_not_compared(spark, frame):
+    links = N.unjoined(frame("path long, rep long", (1, 1), (1, 2)), frame("rep long, label long, n_shingles long", (1, 1, 3), (2, 1, 3)),
+                       frame("rep long, text string", (1, "a b c d e f"), (2, "a b c d e f g")), 4, 50)
+    assert links.collect() == []
