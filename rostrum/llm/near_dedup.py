@@ -326,9 +326,13 @@ def unjoined(inside: DataFrame, labels: DataFrame, texts: DataFrame, k: int, per
     at least the sets of `inside`.
     """
     rows = materialize(inside.select("path", "rep").join(labels, "rep"), "near-labelled")
-    each = rows.groupBy("path", "label").agg(F.sum("n_shingles").alias("_w"))
+    # Nodes of several trees often have the same sets; one of them is compared, told by two hashes of all sets.
+    own = [F.bit_xor(F.xxhash64("rep", F.lit(i))).alias(f"_x{i}") for i in range(2)]
+    each = rows.groupBy("path", "label").agg(F.sum("n_shingles").alias("_w"), F.count(F.lit(1)).alias("_n"), *own)
     mixed = each.groupBy("path").agg(
-        F.count(F.lit(1)).alias("_labels"), F.max(F.struct("_w", "label")).alias("_m"), F.sum("_w").alias("_all")).where("_labels > 1")
+        F.count(F.lit(1)).alias("_labels"), F.max(F.struct("_w", "label")).alias("_m"), F.sum("_w").alias("_all"),
+        F.sum("_n").alias("_n"), F.bit_xor("_x0").alias("_x0"), F.bit_xor("_x1").alias("_x1")).where("_labels > 1")
+    mixed = mixed.groupBy("_n", "_x0", "_x1").agg(F.min(F.struct("path", "_m", "_all")).alias("_s")).select("_s.*")
     fits = F.col("_all") <= part_tokens
     rest = F.when(fits, 1).otherwise(F.ceil((F.col("_all") - F.col("_m._w")) / part_tokens)).cast("int")
     most = F.when(fits, 0).otherwise(F.ceil(F.col("_m._w") / part_tokens)).cast("int")

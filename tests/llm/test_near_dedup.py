@@ -204,3 +204,11 @@ def test_a_node_of_one_label_is_not_compared(spark, frame):
     links = N.unjoined(frame("path long, rep long", (1, 1), (1, 2)), frame("rep long, label long, n_shingles long", (1, 1, 3), (2, 1, 3)),
                        frame("rep long, text string", (1, "a b c d e f"), (2, "a b c d e f g")), 4, 50)
     assert links.collect() == []
+
+
+def test_nodes_of_the_same_sets_are_compared_once_and_others_each(spark, frame):
+    rows = [(1, "a b c d e f"), (2, "a b c d e f g"), (3, "a b c d e f g h")]
+    inside = [(p, d) for p, sets in ((1, (1, 2)), (2, (1, 2)), (3, (2, 3))) for d in sets]
+    links = N.unjoined(frame("path long, rep long", *inside), frame("rep long, label long, n_shingles long", (1, 1, 3), (2, 2, 4), (3, 3, 5)),
+                       frame("rep long, text string", *rows), 4, 60).collect()
+    assert {tuple(sorted(link)) for link in links} == {(1, 2), (2, 3)}
