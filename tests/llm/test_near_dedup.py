@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from rostrum.llm import near_dedup as N
 
 
@@ -147,15 +148,15 @@ def test_an_id_of_several_texts_joins_all_their_groups(spark, frame):
     assert got == brute(rows, 4, 80) == {50: 7, 7: 7, 9: 7, 60: 7, 3: 3}
 
 
-def lookalikes(rng, n):
+def lookalikes(rng, n, linked=(0, 30, 60, 99), unlinked=((5, 20), (40, 55), (70, 90))):
     """Two sets that are linked, each among `n` others that resemble it nearly as much and are linked with nothing."""
     base = [f"b{rng.random()}" for _ in range(100)]
 
     def changed(words, places):
         return [f"c{rng.random()}" if i in places else w for i, w in enumerate(words)]
 
-    other = changed(base, {0, 30, 60, 99})
-    near = [changed(words, {rng.randint(5, 20), rng.randint(40, 55), rng.randint(70, 90)}) for words in (base, other) for _ in range(n)]
+    other = changed(base, linked)
+    near = [changed(words, {rng.randint(*span) for span in unlinked}) for words in (base, other) for _ in range(n)]
     return [" ".join(words) for words in (base, other, *near)]
 
 
@@ -166,6 +167,15 @@ def test_a_link_among_many_that_only_look_alike_is_found(spark, frame):
     assert got == brute(rows, 4, 80)
 
 
+def test_the_pipeline_drops_a_near_copy_among_many_that_only_look_alike(spark, frame, tmp_path):
+    rng = random.Random(12)
+    rows = list(enumerate(t for _ in range(6) for t in lookalikes(rng, 90, (0, 1, 2, 50, 98, 99), ((0, 0), (5, 40), (60, 90)))))
+    want = brute(rows, 5, 80)
+    assert len(set(want.values())) == len(rows) - 6
+    got = corpus_pipeline.near_duplicate_stage(spark, frame("doc_id long, text string", *rows), str(tmp_path)).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(set(want.values()))
+
+
 @pytest.mark.parametrize("changed", [2, 5, 7])
 def test_groups_of_different_near_copies_equal_brute_force(spark, frame, changed):
     rows = corpus(changed + 20, [(400, 120, changed)], 60)
