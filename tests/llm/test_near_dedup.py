@@ -222,3 +222,18 @@ def test_nodes_of_the_same_sets_are_compared_once_and_others_each(spark, frame):
     links = N.unjoined(frame("path long, rep long", *inside), frame("rep long, label long, n_shingles long", (1, 1, 3), (2, 2, 4), (3, 3, 5)),
                        frame("rep long, text string", *rows), 4, 60).collect()
     assert {tuple(sorted(link)) for link in links} == {(1, 2), (2, 3)}
+
+
+@pytest.mark.parametrize("caps", [{}, {"task_rows": 4, "leaf": 2, "pivots": 1, "least": 0.95}])
+def test_the_pipeline_keeps_the_same_rows_whatever_the_candidates_are(spark, frame, monkeypatch, tmp_path, caps):
+    """With no candidates at all, and with caps so tight that most are missing."""
+    made, seen = N.candidates, []
+
+    def few(reps, inside):
+        seen.append(made(reps, inside=inside, **caps) if caps else made(reps, inside=inside).limit(0))
+        return seen[-1]
+
+    monkeypatch.setattr(N, "candidates", few)
+    rows = corpus(31, [(90, 80, 4), (5, 60, 2), (2, 40, 1)], 30)
+    got = corpus_pipeline.near_duplicate_stage(spark, frame("doc_id long, text string", *rows), str(tmp_path)).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(set(brute(rows, 5, 80).values())) and len(seen) == 1
